@@ -69,24 +69,23 @@ def keep_first_wide(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     back.  Rows that have no duplicate are never sorted, and not shuffled either when
     the duplicated keys are few enough for Spark to broadcast by their measured size.
     """
-    duplicated = later_duplicates(df, keys, order)
-    spread = [F.when(_any_null(keys), F.col(c)) for c in order]
-    marked = df
-    # NULL keys never match, but would all hash alike in a shuffled join.
-    for i, column in enumerate(spread):
-        marked = marked.withColumn(f"_own{i}", column.cast("string"))
-        duplicated = duplicated.withColumn(f"_own{i}", F.lit(None).cast("string"))
-    on = None
+    duplicated = later_duplicates(df, keys, order).select(
+        *[F.col(k).alias(f"_dup_{k}") for k in keys],
+        *[F.lit(None).cast(df.schema[c].dataType).alias(f"_own_{c}") for c in order],
+        "first_place",
+    )
+    marked, on = df, F.lit(True)
     for key in keys:
-        same = marked[key] == duplicated[key]
-        on = same if on is None else on & same
-    for i in range(len(spread)):
-        on = on & marked[f"_own{i}"].eqNullSafe(duplicated[f"_own{i}"])
-    first = duplicated["first_place"]
+        on = on & (F.col(key) == F.col(f"_dup_{key}"))
+    # NULL keys never match, but would all hash alike in a shuffled join: spread them.
+    for column in order:
+        marked = marked.withColumn(f"_at_{column}", F.when(_any_null(keys), F.col(column)))
+        on = on & F.col(f"_at_{column}").eqNullSafe(F.col(f"_own_{column}"))
+    first = F.col("first_place")
     return (
         marked.join(duplicated, on, "left")
-        .filter(first.isNull() | (F.struct(*[marked[c] for c in order]) == first))
-        .select(*[marked[c] for c in df.columns])
+        .filter(first.isNull() | (F.struct(*order) == first))
+        .select(*df.columns)
     )
 
 

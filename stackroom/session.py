@@ -31,6 +31,7 @@ def local_session(cores: int | str = 8, app: str = "stackroom", **conf: str) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "16g")
     )

@@ -50,7 +50,7 @@ def _is_zipped(path: str) -> bool:
     return path.lower().endswith(".gz")
 
 
-def list_files(path: str) -> list[tuple[str, int]]:
+def list_files(path: str, recursive: bool = False) -> list[tuple[str, int]]:
     """(path, size) of a file, or of the files of a folder in name order."""
     from pyarrow import fs
 
@@ -58,15 +58,22 @@ def list_files(path: str) -> list[tuple[str, int]]:
     info = filesystem.get_file_info(local)
     if info.type == fs.FileType.File:
         return [(path, info.size)]
-    found = filesystem.get_file_info(fs.FileSelector(local, recursive=False))
-    prefix = path.rstrip("/")
+    found = filesystem.get_file_info(fs.FileSelector(local, recursive=recursive))
+    prefix, below = path.rstrip("/"), len(local.rstrip("/"))
     return sorted(
-        (f"{prefix}/{f.base_name}", f.size)
+        (prefix + f.path[below:], f.size)
         for f in found
         if f.type == fs.FileType.File and not f.base_name.startswith(("_", "."))
     )
 
 
+def exists(path: str) -> bool:
+    from pyarrow import fs
+
+    filesystem, local = _open_filesystem(path)
+    return filesystem.get_file_info(local).type != fs.FileType.NotFound
+
+
 def read_head(path: str, size: int) -> bytes:
     filesystem, local = _open_filesystem(path)
     with filesystem.open_input_stream(local, compression="detect") as stream:
@@ -163,10 +170,12 @@ class _Options:
         self.paths = json.loads(options["paths"])
         self.split_bytes = int(options.get("splitbytes") or SPLIT_BYTES)
         self.marks = json.loads(options.get("marks") or "{}")
+        self.ends = json.loads(options.get("ends") or "{}")
+        self.recursive = (options.get("recursive") or "false").lower() == "true"
         self.hold_partial = (options.get("holdpartialline") or "false").lower() == "true"
 
     def files(self) -> list[tuple[str, int]]:
-        return [file for path in self.paths for file in list_files(path)]
+        return [file for path in self.paths for file in list_files(path, self.recursive)]
 
 
 class _BatchReader(DataSourceReader):
@@ -174,11 +183,15 @@ class _BatchReader(DataSourceReader):
         self.options = _Options(options)
 
     def partitions(self):
-        marks = self.options.marks
+        marks, ends = self.options.marks, self.options.ends
+        # With given ends nothing has to be listed, and later appends are not read.
+        files = sorted(ends.items()) if ends else self.options.files()
         return [
             split
-            for path, size in self.options.files()
-            for split in plan_splits(path, marks.get(path, 0), size, self.options.split_bytes)
+            for path, size in files
+            for split in plan_splits(
+                path, marks.get(path, 0), size, self.options.split_bytes, ends.get(path, -1)
+            )
         ]
 
     def read(self, partition):
@@ -252,14 +265,17 @@ class PositionedLines(DataSource):
         return _StreamReader(dict(self.options))
 
 
-def _with_options(reader, paths, split_bytes, marks, hold_partial_line=False):
-    return (
+def _with_options(reader, paths, split_bytes, marks, recursive, **more):
+    reader = (
         reader.format(FORMAT)
         .option("paths", json.dumps([paths] if isinstance(paths, str) else list(paths)))
         .option("splitBytes", str(split_bytes))
         .option("marks", json.dumps(marks or {}))
-        .option("holdPartialLine", str(hold_partial_line).lower())
+        .option("recursive", str(recursive).lower())
     )
+    for key, value in more.items():
+        reader = reader.option(key, value)
+    return reader
 
 
 def as_lines(raw: DataFrame) -> DataFrame:
@@ -276,14 +292,19 @@ def read_lines(
     paths: str | list[str],
     split_bytes: int = SPLIT_BYTES,
     marks: dict[str, int] | None = None,
+    ends: dict[str, int] | None = None,
+    recursive: bool = False,
 ) -> DataFrame:
     """(source_file, source_offset, line) of files or folders.
 
-    ``marks`` maps a file to the byte its reading starts at; finished parts are never
-    opened.
+    ``marks`` maps a file to the byte its reading starts at, ``ends`` to the byte it stops
+    at; what lies outside is never read.
     """
     spark.dataSource.register(PositionedLines)
-    return as_lines(_with_options(spark.read, paths, split_bytes, marks).load())
+    reader = _with_options(
+        spark.read, paths, split_bytes, marks, recursive, ends=json.dumps(ends or {})
+    )
+    return as_lines(reader.load())
 
 
 def stream_lines(
@@ -291,6 +312,7 @@ def stream_lines(
     paths: str | list[str],
     split_bytes: int = SPLIT_BYTES,
     marks: dict[str, int] | None = None,
+    recursive: bool = False,
     hold_partial_line: bool = False,
 ) -> DataFrame:
     """``read_lines`` as a stream: new files and appended tails.
@@ -299,6 +321,8 @@ def stream_lines(
     by default a file's end ends its line, as in a batch.
     """
     spark.dataSource.register(PositionedLines)
-    return as_lines(
-        _with_options(spark.readStream, paths, split_bytes, marks, hold_partial_line).load()
+    reader = _with_options(
+        spark.readStream, paths, split_bytes, marks, recursive,
+        holdPartialLine=str(hold_partial_line).lower(),
     )
+    return as_lines(reader.load())
