@@ -5,17 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stackroom.functions.text import blank_to_null, strip
+from stackroom.functions.text import strip
 
 _FULL_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 # A year from 1000 to 2199 that stands as a word of its own.  Explicit look-arounds:
 # whether \b knows Unicode depends on the Java version.
 _YEAR = r"(?<![\p{L}\p{N}_])(1[0-9]{3}|2[01][0-9]{2})(?![\p{L}\p{N}_])"
 
-_DAY = r"([0-9]{4})-?([0-9]{2})-?([0-9]{2})"
 _ZONE = r"(?:Z|[+-](?:[01][0-9]|2[0-3])(?::?[0-5][0-9]){0,2})?"
-_CLOCK = r"(?:.([0-9]{2})(?::?([0-9]{2})(?::?([0-9]{2})(?:,[0-9]+)?)?)?" + _ZONE + ")?"
-_ISO = "^" + _DAY + _CLOCK + r"\z"
+_ISO = (
+    r"^([0-9]{4}-[0-9]{2}-[0-9]{2}(?:.[0-9]{2}(?::[0-9]{2}(?::[0-9]{2})?)?)?)(?:,[0-9]+)?"
+    + _ZONE
+    + r"\z"
+)
+_BASIC_DAY = "^([0-9]{4})([0-9]{2})([0-9]{2})"
+_BASIC_CLOCK = "^(.{11}[0-9]{2})([0-9]{2})([0-9]{2})?"
 
 
 def year_or_date(text: Column) -> Column:
@@ -33,21 +37,18 @@ def iso_datetime(text: Column) -> Column:
     Whatever follows the first ``.`` cannot change the result: it is either a
     fraction with an optional zone, or it is ignored on the second attempt.
     """
-    base = F.substring_index(blank_to_null(text), ".", 1)
-
-    def part(index: int) -> Column:
-        return F.regexp_extract(base, _ISO, index)
-
-    def two_digits(index: int) -> Column:
-        return F.coalesce(F.nullif(part(index), F.lit("")), F.lit("00"))
-
-    stamp = F.concat(
-        part(1), F.lit("-"), part(2), F.lit("-"), part(3), F.lit(" "),
-        two_digits(4), F.lit(":"), two_digits(5), F.lit(":"), two_digits(6),
+    base = F.substring_index(strip(text), ".", 1)
+    # 20211226T213202 is rare; give it the separators of the usual spelling.
+    spaced = F.regexp_replace(
+        F.regexp_replace(base, _BASIC_DAY, "$1-$2-$3"), _BASIC_CLOCK, "$1:$2:$3"
+    )
+    wall = F.regexp_extract(
+        F.when(base.rlike("^[0-9]{8}"), F.rtrim(spaced, F.lit(":"))).otherwise(base), _ISO, 1
+    )
+    # Any one character may stand between day and time.
+    return F.concat_ws(" ", F.left(wall, F.lit(10)), F.substr(wall, F.lit(12))).try_cast(
+        "timestamp_ntz"
     )
-    plain = base.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}\z")
-    # The usual spelling needs no taking apart.
-    return F.when(plain, base).when(base.rlike(_ISO), stamp).try_cast("timestamp_ntz")
 
 
 def updated_or_created(updated: Column, created: Column, as_of: Column | None = None) -> Column:

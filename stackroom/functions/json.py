@@ -7,10 +7,10 @@ objects into text; the guards below look at the stored type first.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stackroom.functions.text import blank_to_null, strip_right
+from stackroom.functions.text import blank_to_null
 
 
 def json_start(line: Column) -> Column:
@@ -18,7 +18,7 @@ def json_start(line: Column) -> Column:
     first = F.least(
         F.nullif(F.instr(line, "{"), F.lit(0)), F.nullif(F.instr(line, "["), F.lit(0))
     )
-    return strip_right(F.substr(line, first))
+    return F.substr(line, first)
 
 
 def parse(text: Column) -> Column:
@@ -26,13 +26,26 @@ def parse(text: Column) -> Column:
     return F.try_parse_json(text)
 
 
+def parse_once(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``df`` with ``out``, the parsed form of column ``text``.
+
+    Spark evaluates a projected expression again in every filter it pushes below the
+    projection.  A generated column is no such expression: JSON is parsed once per row.
+    """
+    return df.select("*", F.explode(F.array(parse(F.col(text)))).alias(out))
+
+
 def compact(value: Column) -> Column:
     """Canonical JSON text: no spaces, sorted keys, non-ASCII kept."""
     return F.to_json(value)
 
 
+def _path(*names: str) -> str:
+    return "$." + ".".join(names)
+
+
 def field(value: Column, *names: str) -> Column:
-    return F.try_variant_get(value, "$." + ".".join(names), "variant")
+    return F.try_variant_get(value, _path(*names), "variant")
 
 
 def as_text(value: Column) -> Column:
@@ -40,18 +53,31 @@ def as_text(value: Column) -> Column:
     return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
+def text_at(value: Column, *names: str) -> Column:
+    """Text under a key if it is text, else NULL."""
+    return F.when(
+        F.schema_of_variant(field(value, *names)) == "STRING",
+        F.try_variant_get(value, _path(*names), "string"),
+    )
+
+
 def as_digits(value: Column) -> Column:
-    """Integers, and text made of digits, as BIGINT; else NULL."""
-    kind = F.schema_of_variant(value)
+    """Integers, and text made of digits, as text; else NULL."""
     text = F.try_variant_get(value, "$", "string")
-    return F.when(
-        (kind == "BIGINT") | ((kind == "STRING") & text.rlike(r"^[0-9]+\z")), text
-    ).try_cast("bigint")
+    kind = F.schema_of_variant(value)
+    return F.when(kind == "BIGINT", text).when(
+        kind == "STRING", F.regexp_extract(text, r"^[0-9]+\z", 0)
+    )
+
+
+def raw_text(value: Column, name: str) -> Column:
+    """Text under a key, or under its ``value`` when it holds an object."""
+    return F.coalesce(text_at(value, name), text_at(value, name, "value"))
 
 
-def text_or_value(value: Column) -> Column:
-    """Stripped text of a text value, or of the ``value`` key of an object."""
-    return blank_to_null(F.coalesce(as_text(value), as_text(field(value, "value"))))
+def text_or_value(value: Column, name: str) -> Column:
+    """``raw_text`` stripped; NULL when blank."""
+    return blank_to_null(raw_text(value, name))
 
 
 def items(value: Column, name: str) -> Column:

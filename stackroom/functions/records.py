@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stackroom import fixed_values as fixed
 from stackroom.functions import json
 from stackroom.functions.dates import iso_datetime
-from stackroom.functions.text import blank_to_null, casefold, strip
+from stackroom.functions.text import casefold, strip
 
 
 # --- dump lines ---------------------------------------------------------------------
@@ -20,20 +20,25 @@ def stripped_fields(line: Column) -> Column:
 
 def record_key(value: Column) -> Column:
     """Top-level ``key`` if it is non-empty text."""
-    key = F.nullif(json.as_text(json.field(value, "key")), F.lit(""))
+    key = F.nullif(json.text_at(value, "key"), F.lit(""))
     return F.left(key, F.lit(fixed.MAX_RECORD_KEY))
 
 
 def revision(fields: Column) -> Column:
     """First field that is all digits."""
-    digits = F.filter(fields, lambda f: f.rlike(r"^[0-9]+\z"))
+    # The comparison looks at the first byte, so that JSON is not searched for digits.
+    digits = F.filter(fields, lambda f: (f >= "0") & (f < ":") & f.rlike(r"^[0-9]+\z"))
     return F.try_element_at(digits, F.lit(1)).try_cast("int")
 
 
 def last_modified(fields: Column) -> Column:
     """Last field that is neither empty nor long."""
     short = F.filter(
-        fields, lambda f: (f != "") & (F.char_length(f) <= fixed.MAX_LAST_MODIFIED)
+        fields,
+        lambda f: (f != "")
+        # A character has four bytes at most; counting bytes is free.
+        & (F.octet_length(f) <= 4 * fixed.MAX_LAST_MODIFIED)
+        & (F.char_length(f) <= fixed.MAX_LAST_MODIFIED),
     )
     return F.try_element_at(short, F.lit(-1))
 
@@ -42,21 +47,19 @@ def last_modified(fields: Column) -> Column:
 
 
 def record_type(value: Column) -> Column:
-    return json.as_text(json.field(value, "type", "key"))
+    return json.text_at(value, "type", "key")
 
 
 def record_datetime(value: Column, name: str) -> Column:
     """Time under ``{"value": ISO text}``; plain text does not count."""
-    return iso_datetime(json.as_text(json.field(value, name, "value")))
+    return iso_datetime(json.text_at(value, name, "value"))
 
 
 def _texts(value: Column, name: str) -> Column:
     """Non-blank text items of a list, stripped, in order; empty when there is no list."""
-    found = F.filter(
-        F.transform(json.items(value, name), lambda i: blank_to_null(json.as_text(i))),
-        lambda t: t.isNotNull(),
-    )
-    return F.coalesce(found, F.array().cast("array<string>"))
+    # One step per lambda: inside a lambda Spark evaluates a repeated part every time.
+    texts = F.transform(F.transform(json.items(value, name), json.as_text), strip)
+    return F.coalesce(F.filter(texts, lambda t: t != ""), F.array().cast("array<string>"))
 
 
 def all_subjects(value: Column) -> Column:
@@ -83,33 +86,37 @@ def subjects(value: Column) -> Column:
 
 def cover_ids(value: Column, name: str) -> Column:
     """Distinct cover numbers of a list, in order; empty when there is no list."""
-    numbers = F.filter(
-        F.transform(json.items(value, name), json.as_digits), lambda n: n.isNotNull()
+    digits = F.transform(json.items(value, name), json.as_digits)
+    numbers = F.transform(digits, lambda d: d.try_cast("bigint"))
+    found = F.filter(numbers, lambda n: n.isNotNull())
+    return F.coalesce(F.array_distinct(found), F.array().cast("array<bigint>"))
+
+
+def split_sources(texts: Column) -> Column:
+    """``source:key`` at the first colon; without a source it is ``unknown``.
+
+    ``texts`` are stripped; pairs without a key are dropped.
+    """
+    parts = F.transform(texts, lambda t: F.split(t, ":", 2))
+    whole = F.transform(
+        parts, lambda p: F.when(F.size(p) == 1, F.array(F.lit(""), p[0])).otherwise(p)
     )
-    return F.coalesce(F.array_distinct(numbers), F.array().cast("array<bigint>"))
-
-
-def split_source(text: Column) -> Column:
-    """``source:key`` at the first colon; without a source it is ``unknown``."""
-    clean = strip(text)
-    parts = F.split(clean, ":", 2)
-    has_colon = F.size(parts) == 2
-    source = F.when(has_colon, blank_to_null(F.get(parts, F.lit(0))))
-    key = strip(F.when(has_colon, F.get(parts, F.lit(1))).otherwise(clean))
-    return F.struct(
-        F.left(
-            F.coalesce(source, F.lit(fixed.UNKNOWN_SOURCE)), F.lit(fixed.MAX_SOURCE)
-        ).alias("source"),
-        F.left(key, F.lit(fixed.MAX_SOURCE_KEY)).alias("source_key"),
+    clean = F.transform(whole, lambda p: F.transform(p, strip))
+    pairs = F.transform(
+        clean,
+        lambda p: F.struct(
+            F.when(p[0] == "", fixed.UNKNOWN_SOURCE)
+            .otherwise(F.left(p[0], F.lit(fixed.MAX_SOURCE)))
+            .alias("source"),
+            F.left(p[1], F.lit(fixed.MAX_SOURCE_KEY)).alias("source_key"),
+        ),
     )
+    return F.filter(pairs, lambda s: s["source_key"] != "")
 
 
 def source_records(value: Column) -> Column:
-    """(source, source_key) pairs of a record; pairs without a key are dropped."""
-    return F.filter(
-        F.transform(_texts(value, "source_records"), split_source),
-        lambda s: s["source_key"] != "",
-    )
+    """(source, source_key) pairs of a record."""
+    return split_sources(_texts(value, "source_records"))
 
 
 def array_text(items: Column) -> Column:

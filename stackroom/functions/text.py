@@ -10,12 +10,14 @@ from stackroom.functions.char_tables import apply_table, casefold_table, fold_ta
 
 
 def strip(text: Column) -> Column:
-    """Unicode white space off both ends (``trim`` alone knows only U+0020)."""
-    return F.btrim(text, F.lit(whitespace()))
+    """Unicode white space off both ends (``trim`` alone knows only U+0020).
 
-
-def strip_right(text: Column) -> Column:
-    return F.rtrim(text, F.lit(whitespace()))
+    Trimming a set of characters walks the whole text.  Text that begins and ends with a
+    printable ASCII character, told by its first and last byte, needs none.
+    """
+    last = F.substring(text.cast("binary"), -1, 1)
+    clean = (text >= "!") & (text < "\x7f") & last.between(F.lit(b"!"), F.lit(b"~"))
+    return F.when(clean, text).otherwise(F.btrim(text, F.lit(whitespace())))
 
 
 def blank_to_null(text: Column) -> Column:
@@ -49,8 +51,10 @@ def intro(content: Column) -> Column:
 
 
 def author_name(personal: Column, last: Column, name: Column) -> Column:
-    """Display name; the last name is added unless the personal name holds it."""
-    personal, last, name = blank_to_null(personal), blank_to_null(last), blank_to_null(name)
+    """Display name; the last name is added unless the personal name holds it.
+
+    The parts are stripped, and NULL instead of blank.
+    """
     extra = F.when(
         personal.isNull() | ~F.contains(F.lower(personal), F.lower(last)),
         last,
@@ -60,5 +64,4 @@ def author_name(personal: Column, last: Column, name: Column) -> Column:
 
 def numeric_key(key: Column) -> Column:
     """The number in a record key such as ``/works/OL12W``; NULL without one."""
-    digits = F.regexp_extract(strip(key), fixed.NUMERIC_KEY_PATTERN, 1)
-    return F.nullif(digits, F.lit("")).try_cast("bigint")
+    return F.regexp_extract(strip(key), fixed.NUMERIC_KEY_PATTERN, 1).try_cast("bigint")

@@ -9,12 +9,20 @@ from pyspark.sql import functions as F
 
 from stackroom import fixed_values as fixed
 from stackroom.functions import json, records
-from stackroom.functions.dates import updated_or_created, year_or_date
-from stackroom.functions.text import author_name, entity_slug, intro, numeric_key
+from stackroom.functions.dates import iso_datetime, updated_or_created, year_or_date
+from stackroom.functions.text import (
+    author_name,
+    blank_to_null,
+    entity_slug,
+    intro,
+    numeric_key,
+)
 from stackroom.operators.dedup import first_wins_backfill, keep_first
 
 ENTITY_KEYS = ["kind", "ol_num"]
 PLACE = ["dataset", "source_file", "source_offset"]
+_DATES = ["birth_date", "death_date"]
+_TIMES = ["created", "last_modified"]
 
 
 def check_kind(kind: str) -> str:
@@ -50,45 +58,49 @@ def extract_records(staged: DataFrame, strict_type: bool = False) -> DataFrame:
             kind = F.when(own == type_key, name).otherwise(kind)
         usable = usable.filter(kind == F.col("kind"))
 
-    def text(name: str) -> Column:
-        return json.text_or_value(json.field(data, name))
-
-    def date(name: str) -> Column:
-        return F.when(is_author, year_or_date(F.try_variant_get(data, f"$.{name}", "string")))
-
-    is_author = F.col("kind") == "author"
-    prepared = usable.select(
+    texts = ["title", "personal_name", "last_name", "name", "bio", "description"]
+    # One step per projection: a column used twice is computed once.
+    taken = usable.select(
         *ENTITY_KEYS,
         *PLACE,
-        F.when(is_author, author_name(text("personal_name"), text("last_name"), text("name")))
-        .otherwise(text("title"))
-        .alias("name"),
-        F.when(is_author, F.coalesce(text("bio"), text("description")))
-        .otherwise(text("description"))
-        .alias("content"),
-        date("birth_date").alias("birth_date"),
-        date("death_date").alias("death_date"),
-        records.all_subjects(data).alias("texts"),
-        F.when(is_author, records.cover_ids(data, "photos"))
+        *[json.raw_text(data, t).alias(f"_{t}") for t in texts],
+        *[F.try_variant_get(data, f"$.{d}", "string").alias(f"_{d}") for d in _DATES],
+        *[json.text_at(data, t, "value").alias(f"_{t}") for t in _TIMES],
+        records.all_subjects(data).alias("_texts"),
+        F.when(F.col("kind") == "author", records.cover_ids(data, "photos"))
         .otherwise(records.cover_ids(data, "covers"))
         .alias("cover_ids"),
         records.source_records(data).alias("source_records"),
-        records.record_datetime(data, "created").alias("created_at"),
-        records.record_datetime(data, "last_modified").alias("modified_at"),
     )
-    folded = prepared.withColumn("folded", records.folded_items(F.col("texts")))
-    return folded.select(
+    clean = taken.withColumns({f"_{t}": blank_to_null(F.col(f"_{t}")) for t in texts})
+    is_author = F.col("kind") == "author"
+    named = clean.select(
+        *ENTITY_KEYS,
+        *PLACE,
+        F.when(is_author, author_name(F.col("_personal_name"), F.col("_last_name"), F.col("_name")))
+        .otherwise(F.col("_title"))
+        .alias("name"),
+        F.when(is_author, F.coalesce("_bio", "_description"))
+        .otherwise(F.col("_description"))
+        .alias("content"),
+        *[F.when(is_author, year_or_date(F.col(f"_{d}"))).alias(d) for d in _DATES],
+        "_texts",
+        records.folded_items(F.col("_texts")).alias("_folded"),
+        "cover_ids",
+        "source_records",
+        *[iso_datetime(F.col(f"_{t}")).alias(f"_{t}") for t in _TIMES],
+    )
+    return named.select(
         *ENTITY_KEYS,
         *PLACE,
         "name",
         "content",
-        "birth_date",
-        "death_date",
-        records.first_spellings(F.col("texts"), F.col("folded")).alias("subjects"),
+        *_DATES,
+        records.first_spellings(F.col("_texts"), F.col("_folded")).alias("subjects"),
         "cover_ids",
         "source_records",
-        "created_at",
-        updated_or_created(F.col("modified_at"), F.col("created_at")).alias("updated_at"),
+        F.col("_created").alias("created_at"),
+        updated_or_created(F.col("_last_modified"), F.col("_created")).alias("updated_at"),
     )
 
 

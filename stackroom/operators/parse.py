@@ -40,10 +40,13 @@ def json_records(lines: DataFrame) -> DataFrame:
     located = lines.select(
         *_passing(lines),
         json.json_start(line).alias("data_json"),
-        json.parse(json.json_start(line)).alias("data"),
         records.stripped_fields(line).alias("fields"),
         (line == "").alias("is_empty"),
     )
+    # What follows the JSON does no harm to the parser; data_json goes without it.
+    located = json.parse_once(located, "data_json", "data").withColumn(
+        "data_json", strip(F.col("data_json"))
+    )
     data, fields = F.col("data"), F.col("fields")
     return located.select(
         *_passing(lines),
@@ -106,7 +109,7 @@ def wikidata(lines: DataFrame, lenient: bool = False) -> DataFrame:
     """
     line = F.col("line")
     if lenient:
-        split = lines.select(*_passing(lines), *_lenient_wikidata(line))
+        split = _lenient_wikidata(lines)
         enough = F.lit(True)
     else:
         fields = tsv.quoted_fields(line)
@@ -114,17 +117,18 @@ def wikidata(lines: DataFrame, lenient: bool = False) -> DataFrame:
             *_passing(lines),
             "fields",
             F.nullif(F.get("fields", F.lit(0)), F.lit("")).alias("first"),
-            strip(F.get("fields", F.lit(1))).alias("data_json"),
-        )
+            F.get("fields", F.lit(1)).alias("second"),
+        ).withColumn("data_json", strip(F.col("second")))
         enough = F.col("fields").isNotNull() & (F.size("fields") >= 2)
     decoded = split.select(
         *_passing(lines),
         F.left(strip(F.col("first")), F.lit(fixed.MAX_WIKIDATA_ID)).alias("line_id"),
         "data_json",
-        F.when(F.col("data_json").rlike(r"^[{\[]"), json.parse(F.col("data_json"))).alias("data"),
+        F.when(F.col("data_json").rlike(r"^[{\[]"), F.col("data_json")).alias("json_text"),
         enough.alias("enough"),
     )
-    own_id = F.nullif(json.as_text(json.field(F.col("data"), "id")), F.lit(""))
+    decoded = json.parse_once(decoded, "json_text", "data")
+    own_id = F.nullif(json.text_at(F.col("data"), "id"), F.lit(""))
     return decoded.select(
         *_passing(lines),
         F.coalesce(F.left(own_id, F.lit(fixed.MAX_WIKIDATA_ID)), F.col("line_id")).alias("wd_id"),
@@ -138,27 +142,27 @@ def wikidata(lines: DataFrame, lenient: bool = False) -> DataFrame:
     )
 
 
-def _lenient_wikidata(line: Column) -> list[Column]:
+def _lenient_wikidata(lines: DataFrame) -> DataFrame:
     """The id before the first tab, and the JSON wherever it starts."""
+    line, parts = F.col("line"), F.split("line", "\t", 2)
+    # Without a tab the line has no id and is searched from its first bracket.
     has_tab = F.contains(line, F.lit("\t"))
-    parts = F.split(line, "\t", 2)
-
-    def unquoted(text: Column) -> Column:
-        clean = strip(text)
-        inner = F.substr(clean, F.lit(2), F.char_length(clean) - 2)
-        return F.when(
-            clean.rlike(r'(?s)^".*"\z') & (F.char_length(clean) >= 2),
-            F.replace(inner, F.lit('""'), F.lit('"')),
-        ).otherwise(clean)
-
-    after_tab = unquoted(F.get(parts, F.lit(1)))
-    whole_line = unquoted(json.json_start(line))
-    return [
+    blob = lines.select(
+        *_passing(lines),
         F.when(has_tab, F.nullif(strip(F.get(parts, F.lit(0))), F.lit(""))).alias("first"),
-        F.when(has_tab, F.coalesce(json.json_start(after_tab), after_tab))
-        .otherwise(whole_line)
-        .alias("data_json"),
-    ]
+        strip(F.when(has_tab, F.get(parts, F.lit(1))).otherwise(json.json_start(line))).alias("blob"),
+    )
+    text = F.col("blob")
+    quoted = text.rlike(r'(?s)^".*"\z')
+    inner = F.replace(F.substr(text, F.lit(2), F.char_length(text) - 2), F.lit('""'), F.lit('"'))
+    unquoted = blob.select(
+        *_passing(lines), "first", F.when(quoted, inner).otherwise(text).alias("text")
+    )
+    return unquoted.select(
+        *_passing(lines),
+        "first",
+        F.coalesce(json.json_start(F.col("text")), F.col("text")).alias("data_json"),
+    )
 
 
 def ingest_metrics(parsed: DataFrame, *by: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from stackroom.operators import dedup
 from stackroom.operators.covers import build_covers, new_covers
 from stackroom.operators.entities import union_datasets
+from stackroom.queries.catalog import item_offset
 from stackroom.queries.registry import placed, query, table
 
 _FIRST_DOCUMENTS = "SELECT min(doc_id) AS doc_id, md5(text) AS text_hash FROM documents GROUP BY text"
@@ -88,9 +89,13 @@ def union_sources(spark, sf_dir):
 
 
 _LINE_COVERS = """
-SELECT l_partkey AS cover_id, arg_min(l_quantity::INTEGER, l_orderkey * 100 + l_linenumber) AS width,
-       arg_min(l_linenumber, l_orderkey * 100 + l_linenumber) AS height
-FROM lineitem WHERE l_partkey > 0 GROUP BY l_partkey
+WITH item AS (
+  SELECT *, l_orderkey * 1000000000 + l_linenumber * 100000000 + round(l_extendedprice * 100)::BIGINT AS place
+  FROM lineitem WHERE l_partkey > 0
+)
+SELECT l_partkey AS cover_id, arg_min(l_quantity::INTEGER, place) AS width,
+       arg_min(l_linenumber, place) AS height
+FROM item GROUP BY l_partkey
 """
 
 
@@ -102,7 +107,7 @@ def _line_covers(spark, sf_dir):
             F.col("l_quantity").cast("int").alias("width"),
             F.col("l_linenumber").alias("height"),
             F.col("l_orderkey").alias("source_file"),
-            F.col("l_linenumber").alias("source_offset"),
+            item_offset().alias("source_offset"),
         )
     )
 

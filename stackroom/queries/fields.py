@@ -87,9 +87,15 @@ def author_name(spark, sf_dir):
         .otherwise(segment)
     )
     name = F.when(balance >= 1000, F.concat(F.lit(" "), "c_name"))
-    return table(spark, sf_dir, "customer").select(
-        "c_custkey", text.author_name(personal, last, name).alias("name")
+    parts = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        *[
+            text.blank_to_null(value).alias(part)
+            for part, value in (("personal", personal), ("last", last), ("name", name))
+        ],
     )
+    full = text.author_name(F.col("personal"), F.col("last"), F.col("name"))
+    return parts.select("c_custkey", full.alias("name"))
 
 
 _DATE_TEXT = r"""

@@ -95,12 +95,11 @@ def json_field_guard(spark, sf_dir):
         .otherwise(F.concat(F.lit('{"f":'), "user_id", F.lit("}")))
     )
     found = events.select("event_id", json.parse(text).alias("d"))
-    value = json.field(F.col("d"), "f")
     return found.select(
         "event_id",
-        json.as_text(value).alias("plain_text"),
-        json.text_or_value(value).alias("text_or_value"),
-        json.as_digits(json.field(F.col("d"), "f", "k")).alias("number"),
+        json.text_at(F.col("d"), "f").alias("plain_text"),
+        json.text_or_value(F.col("d"), "f").alias("text_or_value"),
+        json.as_digits(json.field(F.col("d"), "f", "k")).try_cast("bigint").alias("number"),
     )
 
 
@@ -118,7 +117,7 @@ def json_text_intact(spark, sf_dir):
     parsed = parse.accepted(parse.json_records(lines_of(documents, "documents", "doc_id", line)))
     return parsed.select(
         F.col("source_offset").alias("doc_id"),
-        F.md5(json.text_or_value(json.field(F.col("data"), "title"))).alias("text_hash"),
+        F.md5(json.text_or_value(F.col("data"), "title")).alias("text_hash"),
         "ol_key",
     )
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.functions.records import split_source
+from stackroom.functions.records import split_sources
+from stackroom.functions.text import strip
 from stackroom.operators import sources, tags
 from stackroom.queries.registry import no_time, placed, query, table
 
@@ -182,12 +183,12 @@ WITH pair AS (
 
 def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    split = F.transform(F.array("url"), split_source)
+    urls = F.transform(F.array("url"), strip)
     return pages.select(
         F.lit("edition").alias("kind"),
         F.col("page_id").alias("ol_num"),
         *placed(pages, "pages", "page_id"),
-        F.filter(split, lambda s: s["source_key"] != "").alias("source_records"),
+        split_sources(urls).alias("source_records"),
         no_time().alias("created_at"),
         no_time().alias("updated_at"),
     )

@@ -39,7 +39,7 @@ def test_text_or_value(spark):
         ('{"d":" a "}', "a"), ('{"d":{"value":"b"}}', "b"), ('{"d":5}', None),
         ('{"d":"  "}', None), ('{"d":[]}', None), ('{"d":{"value":3}}', None), ("{}", None),
         ('{"d":null}', None), ("[1]", None), ('{"d":"\u00a0x\u2003"}', "x"),
-    ], on_json(lambda v: json.text_or_value(json.field(v, "d"))))
+    ], on_json(lambda v: json.text_or_value(v, "d")))
 
 
 def test_year_or_date(spark):
@@ -136,10 +136,12 @@ def test_author_name(spark):
         ((None, "X", "Y"), "X"),
         ((None, None, "Y"), "Y"),
         ((" ", "", " Z "), "Z"),
+        (("Mark ", " ", None), "Mark"),
         ((None, None, None), None),
     ]
     rows = spark.createDataFrame([c for c, _ in cases], "p string, l string, n string")
-    out = rows.select(text.author_name(F.col("p"), F.col("l"), F.col("n")).alias("a")).collect()
+    clean = rows.select(*[text.blank_to_null(F.col(c)).alias(c) for c in rows.columns])
+    out = clean.select(text.author_name(F.col("p"), F.col("l"), F.col("n")).alias("a")).collect()
     assert [r.a for r in out] == [e for _, e in cases]
 
 
