@@ -6,7 +6,10 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Runtime settings only: each can be set on a session somebody else started.
 RUNTIME_CONF = {
@@ -59,3 +62,16 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = _local_scratch()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def empty_frame(spark: SparkSession, schema: str) -> DataFrame:
+    fields = StructType.fromDDL(schema).fields
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def small_frame(spark: SparkSession, schema: str, **columns: list) -> DataFrame:
+    """A few rows of planning data (file names, sizes), handed over by Arrow."""
+    fields = StructType.fromDDL(schema)
+    if not any(columns.values()):
+        return empty_frame(spark, schema)
+    return spark.createDataFrame(pa.table({f.name: columns[f.name] for f in fields}), fields)

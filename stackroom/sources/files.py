@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stackroom import fixed_values as fixed
+from stackroom.session import small_frame
 from stackroom.sources.lines import list_files, read_head
 
 
@@ -48,12 +49,13 @@ def scan_dump_files(spark: SparkSession, folder: str) -> DataFrame:
 
     One row per file, so this is metadata, not data.
     """
-    rows = [
-        (path, size)
-        for path, size in list_files(folder)
-        if _is_dump(path.rsplit("/", 1)[-1])
-    ]
-    files = spark.createDataFrame(rows, "source_file string, file_size bigint")
+    found = [f for f in list_files(folder) if _is_dump(f[0].rsplit("/", 1)[-1])]
+    files = small_frame(
+        spark,
+        "source_file string, file_size bigint",
+        source_file=[path for path, _ in found],
+        file_size=[size for _, size in found],
+    )
     return files.select(
         "source_file",
         "file_size",
