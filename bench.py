@@ -23,11 +23,10 @@ from stackroom.session import local_session, scratch_dir  # noqa: E402
 
 HEADLINE = [
     "tag_counts", "tag_links", "document_word_counts", "source_links",
-    "keep_first_documents", "keep_first_wide_documents", "first_wins_backfill", "covers_catalog",
+    "keep_first_documents", "first_wins_backfill", "covers_catalog",
     "parse_record_line", "ingest_metrics", "covers_tsv", "generic_tsv", "wikidata_tsv",
     "slugify_texts", "subjects", "cover_ids", "parse_datetime",
-    "work_entities", "work_translations", "work_tag_counts", "work_source_links",
-    "line_offsets", "staged_in_batch", "stream_equals_batch", "catalog_tag_counts",
+    "work_entities", "work_tag_counts", "line_offsets", "staged_in_batch",
 ]
 
 

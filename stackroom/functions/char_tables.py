@@ -27,6 +27,16 @@ class CharTable:
     wide: str  # characters that become several ...
     expansions: str  # ... and what they become, separated by spaces
 
+    def wide_ranges(self) -> str:
+        """A short character class around ``wide``: a list of hundreds is slow to match."""
+        ranges: list[list[int]] = []
+        for code in sorted(map(ord, self.wide)):
+            if ranges and code - ranges[-1][1] <= 16:
+                ranges[-1][1] = code
+            else:
+                ranges.append([code, code])
+        return "[" + "".join(f"{chr(first)}-{chr(last)}" for first, last in ranges) + "]"
+
 
 def _all_characters():
     for code in range(sys.maxunicode + 1):
@@ -116,7 +126,7 @@ def apply_table(text: Column, table: CharTable) -> Column:
         )
 
     expanded = F.when(
-        mapped.rlike(f"[{table.wide}]"),
+        mapped.rlike(table.wide_ranges()),
         F.array_join(F.transform(F.split(mapped, ""), expand), ""),
     ).otherwise(mapped)
     return F.when(is_ascii(text), F.lower(text)).otherwise(expanded)

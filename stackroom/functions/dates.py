@@ -38,17 +38,13 @@ def iso_datetime(text: Column) -> Column:
     fraction with an optional zone, or it is ignored on the second attempt.
     """
     base = F.substring_index(strip(text), ".", 1)
-    # 20211226T213202 is rare; give it the separators of the usual spelling.
+    # 20211226T213202 gets the separators of the usual spelling.
     spaced = F.regexp_replace(
         F.regexp_replace(base, _BASIC_DAY, "$1-$2-$3"), _BASIC_CLOCK, "$1:$2:$3"
     )
-    wall = F.regexp_extract(
-        F.when(base.rlike("^[0-9]{8}"), F.rtrim(spaced, F.lit(":"))).otherwise(base), _ISO, 1
-    )
-    # Any one character may stand between day and time.
-    return F.concat_ws(" ", F.left(wall, F.lit(10)), F.substr(wall, F.lit(12))).try_cast(
-        "timestamp_ntz"
-    )
+    wall = F.regexp_extract(F.rtrim(spaced, F.lit(":")), _ISO, 1)
+    # Any one character may stand between day and time; the cast knows two.
+    return F.regexp_replace(wall, "^(.{10})[^T ]", "$1 ").try_cast("timestamp_ntz")
 
 
 def updated_or_created(updated: Column, created: Column, as_of: Column | None = None) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stackroom import fixed_values as fixed
@@ -79,17 +79,23 @@ def folded_items(texts: Column) -> Column:
     return F.transform(texts, casefold)
 
 
-def subjects(value: Column) -> Column:
-    texts = all_subjects(value)
-    return first_spellings(texts, folded_items(texts))
+def with_subjects(df: DataFrame, data: str, out: str) -> DataFrame:
+    """``df`` with the subjects of a VARIANT column, each spelling once."""
+    # Two steps, so that texts and their folded forms are computed once per row.
+    texts = df.withColumn("_texts", all_subjects(F.col(data)))
+    folded = texts.withColumn("_folded", folded_items(F.col("_texts")))
+    distinct = folded.withColumn(out, first_spellings(F.col("_texts"), F.col("_folded")))
+    return distinct.drop("_texts", "_folded")
 
 
 def cover_ids(value: Column, name: str) -> Column:
     """Distinct cover numbers of a list, in order; empty when there is no list."""
-    digits = F.transform(json.items(value, name), json.as_digits)
-    numbers = F.transform(digits, lambda d: d.try_cast("bigint"))
-    found = F.filter(numbers, lambda n: n.isNotNull())
-    return F.coalesce(F.array_distinct(found), F.array().cast("array<bigint>"))
+    digits = F.filter(
+        F.transform(json.items(value, name), json.as_digits), lambda d: d != ""
+    )
+    # Numbers beyond BIGINT become NULL.
+    numbers = F.array_compact(F.transform(digits, lambda d: d.try_cast("bigint")))
+    return F.coalesce(F.array_distinct(numbers), F.array().cast("array<bigint>"))
 
 
 def split_sources(texts: Column) -> Column:

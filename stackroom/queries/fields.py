@@ -45,14 +45,14 @@ WITH s AS (
 @query(_SLUG + "SELECT doc_id, rtrim(left(base, 220), '-') || '-' || doc_id AS slug FROM s")
 def slugify_texts(spark, sf_dir):
     """Slugs of whole texts in four languages."""
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", text.entity_slug(F.col("text"), F.col("doc_id")).alias("slug")
     )
 
 
 @query("SELECT doc_id, left(text, 500) AS introtext FROM documents")
 def intro_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", text.intro(F.col("text")).alias("introtext")
     )
 
@@ -144,7 +144,7 @@ FROM documents
 )
 def year_in_text(spark, sf_dir):
     """First year named in a whole text."""
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", dates.year_or_date(F.col("text")).alias("date_text")
     )
 
@@ -179,7 +179,7 @@ def parse_datetime(spark, sf_dir):
             F.when(kind == "signup", value).alias("created_plain"),
         )
     )
-    parsed = table(spark, sf_dir, "events").select("event_id", json.parse(body).alias("d"))
+    parsed = table(spark, sf_dir, "events", "event_id").select("event_id", json.parse(body).alias("d"))
     created = records.record_datetime(F.col("d"), "created")
     modified = records.record_datetime(F.col("d"), "last_modified")
     return parsed.select(
@@ -214,9 +214,8 @@ def subjects(spark, sf_dir):
         subject_times=F.col("p_size"),
     )
     parsed = table(spark, sf_dir, "part").select("p_partkey", json.parse(body).alias("d"))
-    return parsed.select(
-        "p_partkey", F.array_join(records.subjects(F.col("d")), "|").alias("subjects")
-    )
+    found = records.with_subjects(parsed, "d", "items")
+    return found.select("p_partkey", F.array_join("items", "|").alias("subjects"))
 
 
 @query(
@@ -239,7 +238,7 @@ def cover_ids(spark, sf_dir):
         F.lit(',"x",null,true,'), F.col("l_linenumber"),
         F.lit(","), F.col("l_orderkey"), F.lit("]}"),
     )
-    parsed = table(spark, sf_dir, "lineitem").select(
+    parsed = table(spark, sf_dir, "lineitem", "l_partkey").select(
         "l_orderkey", "l_linenumber", json.parse(body).alias("d")
     )
     numbers = records.cover_ids(F.col("d"), "covers")

@@ -56,7 +56,7 @@ FROM located WHERE json_valid(data_json)
 """
 )
 def parse_record_line(spark, sf_dir):
-    lines = lines_of(table(spark, sf_dir, "events"), "events", "event_id", event_line())
+    lines = lines_of(table(spark, sf_dir, "events", "event_id"), "events", "event_id", event_line())
     return parse.accepted(parse.json_records(lines)).select(
         "source_offset", "ol_key", "revision", "last_modified",
         json.compact(F.col("data")).alias("canonical"),
@@ -85,7 +85,7 @@ FROM j
 )
 def json_field_guard(spark, sf_dir):
     """Text, object, list and number under one key."""
-    events = table(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events", "event_id")
     kind = F.col("event_type")
     text = (
         F.when(kind == "click", F.lit('{"f":" click "}'))
@@ -112,7 +112,7 @@ FROM documents
 )
 def json_text_intact(spark, sf_dir):
     """Whole texts through JSON: quotes, line breaks and other escapes survive."""
-    documents = table(spark, sf_dir, "documents")
+    documents = table(spark, sf_dir, "documents", "doc_id")
     line = F.concat_ws("\t", F.lit("/type/work"), json_text(key=F.col("text"), title=F.col("text")))
     parsed = parse.accepted(parse.json_records(lines_of(documents, "documents", "doc_id", line)))
     return parsed.select(
@@ -139,7 +139,7 @@ def _defective_lines(spark, sf_dir):
         .when(kind == "purchase", F.concat(F.lit("x\t7\t["), F.col("user_id"), F.lit("] tail")))
         .otherwise(event_line())
     )
-    return lines_of(table(spark, sf_dir, "events"), "events", "event_id", line)
+    return lines_of(table(spark, sf_dir, "events", "event_id"), "events", "event_id", line)
 
 
 @query(
@@ -254,7 +254,7 @@ def _wikidata_lines(spark, sf_dir):
         .when(kind == "purchase", F.lit("text"))
         .otherwise(F.lit("")),
     )
-    return lines_of(table(spark, sf_dir, "events"), "events", "event_id", line)
+    return lines_of(table(spark, sf_dir, "events", "event_id"), "events", "event_id", line)
 
 
 @query(
@@ -304,7 +304,7 @@ def wikidata_lenient(spark, sf_dir):
         .when(kind == "view", F.concat(key, F.lit("\tsome text "), props))
         .otherwise(F.concat(key, F.lit("\t"), props))
     )
-    lines = lines_of(table(spark, sf_dir, "events"), "events", "event_id", line)
+    lines = lines_of(table(spark, sf_dir, "events", "event_id"), "events", "event_id", line)
     parsed = parse.accepted(parse.wikidata(lines, lenient=True))
     return parsed.select(
         "source_offset", "wd_id", json.compact(F.col("data")).alias("canonical")
@@ -321,7 +321,7 @@ FROM documents
 )
 def escaped_text(spark, sf_dir):
     """Whole texts as fields of a TSV sink."""
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id",
         tsv.escape_text(F.col("text")).alias("escaped"),
         tsv.escape_json(F.col("text")).alias("flat"),
@@ -347,7 +347,7 @@ FROM documents
 """
 )
 def stripped_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id",
         F.char_length("text").cast("bigint").alias("characters"),
         F.char_length(strip(F.col("text"))).cast("bigint").alias("stripped"),

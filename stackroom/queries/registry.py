@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stackroom.session import configure
+from stackroom.sources.lines import SPLIT_BYTES, list_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -29,8 +30,21 @@ def query(sql: str | None = None):
     return register
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
+    """A given table; ``spread_by`` names a key to spread its rows by if it is small.
+
+    A file of one row group is read by one task.  Where the whole table makes fewer tasks
+    than there are cores, work on its rows gains from a shuffle, whose cost the
+    table's size bounds.  Larger tables are read as they are.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    rows = spark.read.parquet(path)
+    if spread_by is not None:
+        cores = spark.sparkContext.defaultParallelism
+        size = sum(size for _, size in list_files(path, recursive=True))
+        if size < cores * SPLIT_BYTES:
+            return rows.repartition(cores, spread_by)
+    return rows
 
 
 def json_text(**fields: Column) -> Column:
@@ -47,9 +61,18 @@ def placed(df: DataFrame, dataset: str, position: str) -> list[Column]:
     ]
 
 
+def built_rows(df: DataFrame, *columns: Column) -> DataFrame:
+    """Rows built from a table, to stand for rows read from a file.
+
+    A plain projection would have Spark repeat the building inside every filter and use.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
 def lines_of(df: DataFrame, source: str, position: str, line: Column) -> DataFrame:
     """A ``line`` column with a place, as the line source gives it."""
-    return df.select(
+    return built_rows(
+        df,
         F.lit(source).alias("source_file"),
         F.col(position).cast("bigint").alias("source_offset"),
         line.alias("line"),

@@ -157,7 +157,7 @@ FROM tag WHERE slug IS NOT NULL GROUP BY slug
 )
 def document_word_counts(spark, sf_dir):
     """Every word of every document as a tag: many links, a few very popular tags."""
-    documents = table(spark, sf_dir, "documents")
+    documents = table(spark, sf_dir, "documents", "doc_id")
     recs = documents.select(
         F.lit("work").alias("kind"),
         F.col("doc_id").alias("ol_num"),
