@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stackroom.functions.once import compute_once
 from stackroom.functions.text import blank_to_null
 
 
@@ -27,12 +28,8 @@ def parse(text: Column) -> Column:
 
 
 def parse_once(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``df`` with ``out``, the parsed form of column ``text``.
-
-    Spark evaluates a projected expression again in every filter it pushes below the
-    projection.  A generated column is no such expression: JSON is parsed once per row.
-    """
-    return df.select("*", F.explode(F.array(parse(F.col(text)))).alias(out))
+    """``df`` with ``out``, the parsed form of column ``text``, parsed once per row."""
+    return compute_once(df, out, parse(F.col(text)))
 
 
 def compact(value: Column) -> Column:
