@@ -17,7 +17,7 @@ from stackroom.functions.text import (
     intro,
     numeric_key,
 )
-from stackroom.operators.dedup import first_wins_backfill, keep_first
+from stackroom.operators.dedup import first_wins_backfill, keep_first, keep_first_wide
 
 ENTITY_KEYS = ["kind", "ol_num"]
 PLACE = ["dataset", "source_file", "source_offset"]
@@ -154,9 +154,16 @@ def new_entities(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def build_translations(
-    recs: DataFrame, locale: str = fixed.DEFAULT_LOCALE, as_of: Column | None = None
+    recs: DataFrame,
+    locale: str = fixed.DEFAULT_LOCALE,
+    as_of: Column | None = None,
+    written: bool = False,
 ) -> DataFrame:
-    """One row per (kind, entity, locale): title or name, slug, intro, content."""
+    """One row per (kind, entity, locale): title or name, slug, intro, content.
+
+    ``written`` says that ``recs`` is a table that may well be read twice: then texts
+    are not shuffled to find the few repeated entities.
+    """
     rows = recs.select(
         "kind",
         F.col("ol_num").alias("entity_id"),
@@ -168,7 +175,9 @@ def build_translations(
         updated_or_created(F.col("created_at"), F.lit(None), as_of).alias("created_at"),
         updated_or_created(F.col("updated_at"), F.col("created_at"), as_of).alias("updated_at"),
     )
-    firsts = keep_first(rows, ["kind", "entity_id", "locale"], PLACE)
+    # One locale per call, so the entity is the key.
+    keep = keep_first_wide if written else keep_first
+    firsts = keep(rows, ["kind", "entity_id"], PLACE)
     # Slugs and intros are made after duplicates are gone.
     return firsts.select(
         "kind",

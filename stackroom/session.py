@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -45,6 +46,9 @@ def local_session(cores: int | str = 8, app: str = "stackroom", **conf: str) ->
     return spark
 
 
+_SCRATCH_NAME = re.compile(r"/[a-z-]+-[0-9a-f]{32}$")
+
+
 @lru_cache(maxsize=1)
 def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="stackroom-")
@@ -64,6 +68,20 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(path: str) -> None:
+    """Remove a folder made by ``scratch_dir`` once what was built from it is written."""
+    from pyarrow import fs
+
+    if _SCRATCH_NAME.search(path) is None:
+        raise ValueError(f"not a scratch folder: {path}")
+    local = "/" + path[len("file:"):].lstrip("/") if path.startswith("file:") else path
+    if "://" in local:
+        filesystem, local = fs.FileSystem.from_uri(local)
+    else:
+        filesystem = fs.LocalFileSystem()
+    filesystem.delete_dir(local)
+
+
 def empty_frame(spark: SparkSession, schema: str) -> DataFrame:
     fields = StructType.fromDDL(schema).fields
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])

@@ -11,17 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stackroom import fixed_values as fixed
-from stackroom.operators import parse
 from stackroom.plans.catalog import Options, update_catalog
-from stackroom.plans.staging import (
-    PLACE,
-    layout,
-    parse_lines,
-    read_table,
-    stage_rows,
-    write_batch,
-)
-from stackroom.session import configure, scratch_dir
+from stackroom.plans.staging import layout, parse_lines, read_table, write_parsed
+from stackroom.session import configure, remove_scratch, scratch_dir
 from stackroom.sources.lines import SPLIT_BYTES, stream_lines
 
 
@@ -47,7 +39,7 @@ def stage_stream(
         spark, paths, split_bytes, recursive=recursive, hold_partial_line=hold_partial_line
     )
     shape = layout(kind, tsv_columns)
-    staging, rejects = f"{root}/staging/{dataset}", f"{root}/rejects/{dataset}"
+    staging = f"{root}/staging/{dataset}"
 
     def write(batch_lines: DataFrame, batch: int) -> None:
         session = batch_lines.sparkSession
@@ -55,8 +47,8 @@ def stage_stream(
         parse_lines(batch_lines, kind, tsv_columns).write.parquet(scratch)
         parsed = session.read.parquet(scratch)
         existing = read_table(session, staging, shape.schema).filter(F.col("batch") < batch)
-        write_batch(stage_rows(parsed, existing, kind), staging, batch)
-        write_batch(parse.rejects(parsed).select(*PLACE, "reject_reason"), rejects, batch)
+        write_parsed(parsed, existing, root, dataset, kind, batch)
+        remove_scratch(scratch)
 
     return (
         lines.writeStream.foreachBatch(write)

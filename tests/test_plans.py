@@ -153,6 +153,28 @@ def test_catalog(spark, folder, tmp_path):
     assert [(r.cover_id, r.width) for r in catalog.read_catalog(spark, out, "covers").collect()] == [(5, 10)]
 
 
+def test_first_lines(spark):
+    from stackroom.operators.classify import first_lines
+
+    places = [(f"f{i % 3}", i) for i in range(30)]
+    rows = spark.createDataFrame(places, "source_file string, source_offset bigint")
+    got = sorted(map(tuple, first_lines(rows, 14).collect()))
+    assert got == sorted(places)[:14]
+    assert first_lines(rows.limit(0)).count() == 0
+
+
+def test_scratch_is_removed_and_nothing_else(tmp_path):
+    from stackroom.session import remove_scratch
+
+    keep, scratch = tmp_path / "keep", tmp_path / ("run-" + "0" * 32)
+    keep.mkdir()
+    scratch.mkdir()
+    remove_scratch(str(scratch))
+    with pytest.raises(ValueError):
+        remove_scratch(str(keep))
+    assert keep.exists() and not scratch.exists()
+
+
 def test_catalog_switches(spark, folder, tmp_path):
     root, out = str(tmp_path / "root"), str(tmp_path / "catalog")
     datasets = staging.stage_folder(spark, str(folder), root)
