@@ -195,6 +195,13 @@ def build_translations(
     )
 
 
+def rows_of_kind(rows: DataFrame, kind: str) -> DataFrame:
+    """Translations or tag links of one kind, under the column names of its own table."""
+    _, title, foreign_key = fixed.KIND_CONFIG[check_kind(kind)]
+    names = {"entity_id": foreign_key, "title": title}
+    return rows.filter(F.col("kind") == kind).drop("kind").withColumnsRenamed(names)
+
+
 def for_target(df: DataFrame, target_columns: Sequence[str]) -> DataFrame:
     """Only the columns the target has, in its order."""
     return df.select(*[c for c in target_columns if c in df.columns])

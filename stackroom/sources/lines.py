@@ -67,6 +67,15 @@ def list_files(path: str, recursive: bool = False) -> list[tuple[str, int]]:
     )
 
 
+def list_folders(path: str) -> list[str]:
+    """Names of the folders in a folder, in order."""
+    from pyarrow import fs
+
+    filesystem, local = _open_filesystem(path)
+    found = filesystem.get_file_info(fs.FileSelector(local, recursive=False))
+    return sorted(f.base_name for f in found if f.type == fs.FileType.Directory)
+
+
 def exists(path: str) -> bool:
     from pyarrow import fs
 

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from stackroom.operators.entities import rows_of_kind
 from stackroom.plans import catalog, staging
 from stackroom.sources.files import dump_files
 from stackroom.streaming.ingest import catalog_stream, stage_stream
@@ -132,7 +133,10 @@ def test_catalog(spark, folder, tmp_path):
     assert catalog.classify_datasets(spark, root, datasets) == {
         WORKS: "work", "ol_dump_editions_latest": "edition", "ol_dump_authors_latest": "author",
     }
-    catalog.build_catalog(spark, root, datasets, out, options=catalog.Options(site_id=4))
+    assert catalog.discover_datasets(spark, root) == {
+        name: kind for name, kind in datasets.items() if kind in ("json", "covers")
+    }
+    catalog.build_catalog(spark, root, out, options=catalog.Options(site_id=4))
     rows = catalog.read_entities(spark, out).orderBy("kind", "ol_num").collect()
     got = [(r.kind, r.ol_num, r.name, r.genres, r.screenshots, r.birth_date, r.site_id) for r in rows]
     assert got == [
@@ -142,6 +146,10 @@ def test_catalog(spark, folder, tmp_path):
         ("work", 2, "Two", ["sci fi"], [], None, 4),
     ]
     assert str([r for r in rows if r.ol_num == 1 and r.kind == "work"][0].updated_at) == "2020-01-01 01:02:03"
+    authors = rows_of_kind(catalog.read_catalog(spark, out, "translations"), "author")
+    assert [(r.author_id, r.name) for r in authors.collect()] == [(7, "Mark Twain")]
+    with pytest.raises(ValueError):
+        rows_of_kind(authors, "list")
     slugs = {(r.kind, r.slug) for r in catalog.read_catalog(spark, out, "translations").collect()}
     assert slugs == {("author", "mark-twain-7"), ("edition", "ed-1"), ("work", "1-1"), ("work", "two-2")}
     counts = {(r.slug, r.name, r.items_count) for r in catalog.tags_with_counts(spark, out).collect()}
@@ -179,7 +187,7 @@ def test_catalog_switches(spark, folder, tmp_path):
     root, out = str(tmp_path / "root"), str(tmp_path / "catalog")
     datasets = staging.stage_folder(spark, str(folder), root)
     options = catalog.Options(kinds=("work",), do_covers=False, do_tags=False, do_sources=False, do_translations=False)
-    catalog.build_catalog(spark, root, datasets, out, options=options)
+    catalog.build_catalog(spark, root, out, datasets, options=options)
     assert {r.kind for r in catalog.read_entities(spark, out).collect()} == {"work"}
     for table in ("covers", "tags", "tag_links", "source_records", "translations"):
         assert catalog.read_catalog(spark, out, table) is None
