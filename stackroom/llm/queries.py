@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.llm import chat_format, curve_search, url_filter
+from stackroom.llm import chat_format, curve_search, packing, url_filter
+from stackroom.llm.store import stored
 from stackroom.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +18,8 @@ SQL: dict[str, str] = {}
 def query(function):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
+        # Rows of these tables hold whole texts: batches for Python are kept small.
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
         return function(spark, sf_dir.rstrip("/"))
 
     QUERIES[function.__name__] = run
@@ -27,6 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str = "byte_bpe_50k.tiktoken") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 URL_RULES = [
     url_filter.Rule("net/", "block"),
     url_filter.Rule("example.net/en/", "allow"),
@@ -137,3 +146,15 @@ FROM joined
 def op6_curve_search(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return curve_search.neighbours(vectors, F.pmod(F.col("vec_id"), F.lit(20)) == 0)
+
+
+def packed_documents(documents: DataFrame) -> DataFrame:
+    """Every piece of every document with its place; ids stand in their checksum."""
+    pieces = packing.pieces(documents, tokenizer_file())
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(stored(digests, "pieces"))
+
+
+@query
+def op4_best_fit_packing(spark, sf_dir):
+    return packed_documents(table(spark, sf_dir, "documents"))
