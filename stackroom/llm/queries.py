@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.llm import chat_format, curve_search, packing, url_filter
+from stackroom.llm import arc_convert, chat_format, curve_search, packing, url_filter
 from stackroom.llm.store import stored
-from stackroom.session import configure
+from stackroom.session import configure, scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -158,3 +158,34 @@ def packed_documents(documents: DataFrame) -> DataFrame:
 @query
 def op4_best_fit_packing(spark, sf_dir):
     return packed_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_arc_convert(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    archives = arc_convert.write_arcs(pages, "page_id", "url", "html")
+    folder = scratch_dir(spark, "warc")
+    arc_convert.write_warc(arc_convert.to_warc(archives), folder)
+    read = arc_convert.read_warc(spark, folder)
+    return read.select(
+        F.col("key").alias("page_id"),
+        F.col("bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        F.col("refers_to_key").alias("refers_to"),
+    )
+
+
+SQL["op7_arc_convert"] = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+        sha1(coalesce(html, '')) AS payload_digest FROM pages
+), w AS (
+    SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id)
+        OVER (PARTITION BY payload_digest) ELSE page_id END AS answer FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN answer = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN answer <> page_id THEN answer END AS refers_to
+FROM w
+"""
