@@ -7,7 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.llm import arc_convert, chat_format, curve_search, packing, url_filter
+from stackroom.llm import (
+    arc_convert,
+    chat_format,
+    curve_search,
+    jaccard_join,
+    packing,
+    url_filter,
+)
 from stackroom.llm.store import stored
 from stackroom.session import configure, scratch_dir
 
@@ -189,3 +196,31 @@ SELECT page_id, payload_bytes, payload_digest,
     CASE WHEN answer <> page_id THEN answer END AS refers_to
 FROM w
 """
+
+
+@query
+def op9_jaccard_join(spark, sf_dir):
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("n_links")
+
+
+SQL["op9_jaccard_join"] = r"""
+WITH RECURSIVE w AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS MATERIALIZED (
+    SELECT doc_id, list_distinct(CASE WHEN len(words) >= 5
+        THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+        WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingles FROM w
+), e AS MATERIALIZED (
+    SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s
+), p AS MATERIALIZED (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM e AS a JOIN e AS b USING (shingle)
+    WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), r(node, reached) AS (
+    SELECT doc_id, doc_id FROM s UNION SELECT r.node, p.b FROM r JOIN p ON r.reached = p.a
+), c AS (SELECT node, min(reached) AS component_id FROM r GROUP BY node)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, c.component_id
+FROM s JOIN c ON s.doc_id = c.node
+"""
