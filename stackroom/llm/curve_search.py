@@ -282,38 +282,32 @@ def neighbours(
     )
 
     def compare(keys, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"probe": [], "class": [], "score": []})
-        found = _matrix(right["vector"], dimension)
-        ids = right["class"].to_numpy()
-        parts = []
-        for i in range(0, len(left), 256):
-            some = left.iloc[i : i + 256]
-            best, near = _best(_products(_matrix(some["vector"], dimension), found), ids, k + 1)
-            parts.append(
-                pd.DataFrame(
-                    {"probe": np.repeat(some["probe"].to_numpy(), best.shape[1]),
-                     "class": near.ravel(), "score": best.ravel()}
-                )
-            )
-        return pd.concat(parts)
-
-    # A block's probes may come from anywhere: they are cut into lots so that no task gets many.
-    lots = 8
-    lot = F.pmod(F.xxhash64("probe"), F.lit(lots))
+        out = {"probe": [], "classes": [], "scores": []}
+        if len(left) and len(right):
+            found, ids = _matrix(right["vector"], dimension), right["class"].to_numpy()
+            for i in range(0, len(left), 256):
+                some = left.iloc[i : i + 256]
+                best, near = _best(_products(_matrix(some["vector"], dimension), found), ids, k + 1)
+                out["probe"] += some["probe"].tolist()
+                out["classes"] += list(near)
+                out["scores"] += list(best)
+        return pd.DataFrame({name: pd.Series(column, dtype=object) for name, column in out.items()})
+
+    def merge(group: pd.DataFrame) -> pd.DataFrame:
+        classes, at = np.unique(np.concatenate(list(group["classes"])), return_index=True)
+        best, near = _best(np.concatenate(list(group["scores"]))[at][None, :], classes, k + 1)
+        return pd.DataFrame({"probe": group["probe"].iloc[0], "class": near[0], "score": best[0]})
+
+    # A block holds ``block_rows`` classes and meets the probes of a window of such blocks.
     blocks = ordered.select(
-        *[F.col(name).alias(name) for name in ("curve", "block", "class", "vector")],
-        F.explode(F.sequence(F.lit(0), F.lit(lots - 1))).alias("lot"),
+        *[F.col(name).alias(name) for name in ("curve", "block", "class", "vector")]
     )
     pairs = (
-        probes.withColumn("lot", lot.cast("int")).groupBy("curve", "block", "lot")
-        .cogroup(blocks.groupBy("curve", "block", "lot"))
-        .applyInPandas(compare, "probe long, class long, score double")
+        probes.groupBy("curve", "block").cogroup(blocks.groupBy("curve", "block"))
+        .applyInPandas(compare, "probe long, classes array<long>, scores array<double>")
     )
     # The class itself stays in: its other members are neighbours of a query.
-    merged = pairs.groupBy("probe", "class").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("probe").orderBy(F.desc("score"), "class")
-    near = merged.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1)
+    near = pairs.groupBy("probe").applyInPandas(merge, "probe long, class long, score double")
     lists = (
         near.join(members.select("class", "ids"), "class")
         .groupBy("probe").agg(F.collect_list(F.struct("score", "ids")).alias("found"))
