@@ -13,6 +13,7 @@ from stackroom.llm import (
     curve_search,
     jaccard_join,
     packing,
+    quality,
     url_filter,
 )
 from stackroom.llm.store import stored
@@ -224,3 +225,9 @@ WITH RECURSIVE w AS MATERIALIZED (
 SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, c.component_id
 FROM s JOIN c ON s.doc_id = c.node
 """
+
+
+@query
+def op10_quality_classifier(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(documents, table(spark, sf_dir, "labels")).drop("text")
