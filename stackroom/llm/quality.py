@@ -42,7 +42,7 @@ SAMPLE = 12_000
 BITS = 18
 EPOCHS = 4
 #: Weight below which a feature counts for nothing (an L1 penalty in training).
-PENALTY = 0.6
+PENALTY = 5.0
 CACHE_WORDS = 300_000
 #: Chance that a given label is right.
 TRUST = 0.98
