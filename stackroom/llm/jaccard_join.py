@@ -6,12 +6,12 @@ more.  The result is exact; no link between different texts is lost.
 1. Documents with equal sets are one class.  Every task also counts its shingles in
    a sketch of fixed size, and the sums of all tasks give each shingle a level, the logarithm of
    how often it occurs.  Shingles are ordered by level, then by hash: rare ones first.
-2. Classes that link share one of the first shingles of their sets in that order, the first
-   n - ceil(n * percent) + 1.  Those entries (shingle, class, size) meet in buckets of the hash, packed as
-   arrays.  Buckets give *lists*: the classes that share a first shingle.
-   Equal lists are kept once.
-3. The sets of classes in lists are taken from the texts in another pass; a bitmap of fixed size
-   keeps all others from being shuffled.
+2. Of sets of sizes n that link, the first n - ceil(n * percent) + k in that order share k.
+   Those entries (shingle, class, size) meet in buckets of the hash, packed as arrays.  Buckets
+   give *lists*: the classes that share a first shingle, equal lists once.  With k a tenth of n, a class that
+   shares fewer of its first shingles with any others than its partners' k cannot link and is left out.
+3. The sets of classes in lists are taken from one text of each in another pass, in which a
+   bitmap of fixed size tells which texts to look at.
 4. First every list's classes are held against the list's smallest one.  Classes that link so are one
    component.  Then all pairs of a list whose classes are in different components still are held
    against each other.  So a group of thousands of near copies costs each member a few
@@ -39,11 +39,11 @@ from pyspark.sql import functions as F
 
 from stackroom.llm.components import components
 from stackroom.llm.store import stored
-from stackroom.llm.words import shingles, utf8, values, word_hashes, words_of
+from stackroom.llm.words import shingle_sets, utf8, values
 
 #: Cells of the sketch that orders shingles: a fixed size, sent to every task.
 SKETCH_BITS = 20
-#: Bits of the bitmap of classes whose sets are needed: a fixed size, sent to every task.
+#: Bits of the bitmap of texts whose sets are needed: a fixed size, sent to every task.
 NEEDED_BITS = 26
 #: Shingle entries that a bucket holds on average.
 BUCKET_ENTRIES = 400_000
@@ -58,8 +58,8 @@ def needed_overlap(a: int, b: np.ndarray, percent: int) -> np.ndarray:
 
 
 def first_shingles(size: int, percent: int) -> int:
-    """How many first elements of a set must hold one of any set that links."""
-    return size + percent * size // -100 + 1 if size else 0
+    """How many first elements of a set hold ``size // 10 + 1`` of any larger set that links."""
+    return min(size, size + percent * size // -100 + size // 10 + 1)
 
 
 def _cell(hashes: np.ndarray) -> np.ndarray:
@@ -76,8 +76,7 @@ def _class_of(hashes: np.ndarray) -> int:
 
 
 def _sets(batch: pa.RecordBatch, n: int) -> Iterator[tuple[int, np.ndarray]]:
-    for key, text in zip(values(batch, "key"), utf8(batch, "text"), strict=True):
-        yield key, shingles(word_hashes(words_of(text or b"")), n)
+    yield from zip(values(batch, "key"), shingle_sets(utf8(batch, "text"), n), strict=True)
 
 
 def _classes(rows: DataFrame, n: int) -> DataFrame:
@@ -197,34 +196,52 @@ def _lists(rows: DataFrame, levels, n: int, percent: int, buckets: int) -> DataF
         hashes, names, sizes = hashes[new], names[new], sizes[new]
         starts = np.nonzero(np.r_[True, hashes[1:] != hashes[:-1]])[0]
         lengths = np.diff(np.r_[starts, len(hashes)])
-        seen: set[bytes] = set()
-        out: list[tuple] = []
+        out: dict[bytes, list] = {}
         for a, length in zip(starts[lengths > 1], lengths[lengths > 1], strict=True):
             members = names[a : a + length]
             digest = hashlib.blake2b(members.tobytes(), digest_size=8).digest()
-            if digest not in seen:
-                seen.add(digest)
-                out.append((int.from_bytes(digest, "little", signed=True), members, sizes[a : a + length]))
+            if digest in out:
+                out[digest][2] += 1
+            else:
+                out[digest] = [members, sizes[a : a + length], 1]
         if not out:
-            return pd.DataFrame({"list": [], "class": [], "size": []})
+            return pd.DataFrame({"list": [], "class": [], "size": [], "shared": []})
+        counts = [len(x[0]) for x in out.values()]
+        names = [int.from_bytes(digest, "little", signed=True) for digest in out]
         return pd.DataFrame(
-            {"list": np.repeat([x[0] for x in out], [len(x[1]) for x in out]),
-             "class": np.concatenate([x[1] for x in out]),
-             "size": np.concatenate([x[2] for x in out]).astype(np.int64)}
+            {"list": np.repeat(names, counts),
+             "class": np.concatenate([x[0] for x in out.values()]),
+             "size": np.concatenate([x[1] for x in out.values()]).astype(np.int64),
+             "shared": np.repeat([x[2] for x in out.values()], counts)}
         )
 
     packed = rows.mapInArrow(entries, "bucket long, hashes binary, classes binary, sizes binary")
-    found = packed.groupBy("bucket").applyInPandas(lists, "list long, class long, size long")
-    return found.distinct()
+    fields = "list long, class long, size long, shared long"
+    found = packed.groupBy("bucket").applyInPandas(lists, fields)
+    return found.groupBy("list", "class", "size").agg(F.sum("shared").alias("shared"))
 
 
-def _needed_bits(classes: DataFrame) -> np.ndarray:
-    """Bitmap of hashed classes, 2^NEEDED_BITS bits: rows of 4 KB, as many for any input."""
-    # A class is named by a digest, so its lower bits will do.
+def _that_may_link(lists: DataFrame, percent: int) -> DataFrame:
+    """``lists`` without classes that share too little, twice, and without lists of one class."""
+    for _ in range(2):
+        shared = lists.groupBy("class").agg(
+            F.sum("shared").alias("all_shared"), F.max("size").alias("n")
+        )
+        # A partner has at least ``percent`` of the size, and a tenth of that, and one, is its k.
+        least = F.floor(F.floor(F.col("n") * percent / 100) / 10) + 1
+        enough = shared.filter(F.col("all_shared") >= least).select("class")
+        kept = lists.join(enough, "class")
+        pairs = kept.groupBy("list").agg(F.count("*").alias("members")).filter("members > 1")
+        lists = stored(kept.join(pairs.select("list"), "list"), "shingle-lists")
+    return lists
+
+
+def _needed_bits(texts: DataFrame) -> np.ndarray:
+    """Bitmap of hashed keys, 2^NEEDED_BITS bits: rows of 4 KB, as many for any input."""
     # Spark's bitmaps start at 1.
-    place = F.col("class").bitwiseAND((1 << NEEDED_BITS) - 1) + 1
+    place = F.col("key").bitwiseAND((1 << NEEDED_BITS) - 1) + 1
     rows = (
-        classes.select(place.alias("p")).distinct()
+        texts.select(place.alias("p"))
         .groupBy(F.bitmap_bucket_number("p").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect()
     )
@@ -342,11 +359,15 @@ def near_duplicates(
     members = first.filter("key is not null").select("key", "size", "class")
     levels = spark.sparkContext.broadcast(_levels(first.filter("cell is not null").select("cell", "counts")))
     total = members.agg(F.sum("size")).first()[0] or 0
-    buckets = max(8, total // 4 // BUCKET_ENTRIES)
+    buckets = max(8, total // 3 // BUCKET_ENTRIES)
     lists = stored(_lists(rows, levels, n, percent, buckets), "shingle-lists")
+    lists = _that_may_link(lists, percent)
 
-    needed = spark.sparkContext.broadcast(_needed_bits(lists.select("class")))
-    sets = stored(_needed_sets(rows, needed, levels, n, lists.select("class").distinct()), "shingle-sets")
+    # One document of each class stands for it.
+    classes = lists.select("class").distinct()
+    texts = stored(members.join(classes, "class").groupBy("class").agg(F.min("key").alias("key")), "shingle-texts")
+    needed = spark.sparkContext.broadcast(_needed_bits(texts))
+    sets = stored(_needed_sets(rows, needed, levels, n, classes), "shingle-sets")
 
     def near(a: str, b: str):
         small, large = F.least(a, b), F.greatest(a, b)
@@ -417,24 +438,13 @@ def _needed_sets(rows: DataFrame, needed, levels, n: int, classes: DataFrame) ->
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, bits = levels.value, needed.value
-        seen: set[int] = set()
         for batch in batches:
-            names, hashes = [], []
-            for _, found in _sets(batch, n):
-                if len(found):
-                    name = _class_of(found)
-                    if name not in seen:
-                        names.append(name)
-                        hashes.append(found)
-                        seen.add(name)
-            if len(seen) > 1_000_000:
-                seen.clear()
-            places = np.array(names, np.int64) & ((1 << NEEDED_BITS) - 1)
-            keep = (bits[places >> 3] >> (places & 7)) & 1 == 1
+            places = np.array(values(batch, "key"), np.int64) & ((1 << NEEDED_BITS) - 1)
+            keep = (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
+            found = [h for _, h in _sets(batch.filter(pa.array(keep)), n) if len(h)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([c for c, k in zip(names, keep, strict=True) if k], pa.int64()),
-                 pa.array([_in_order(h, order).tobytes() for h, k in zip(hashes, keep, strict=True) if k],
-                          pa.binary())],
+                [pa.array([_class_of(h) for h in found], pa.int64()),
+                 pa.array([_in_order(h, order).tobytes() for h in found], pa.binary())],
                 names=["class", "hashes"],
             )
 
