@@ -11,7 +11,9 @@ from stackroom.llm import (
     arc_convert,
     chat_format,
     curve_search,
+    decontaminate,
     jaccard_join,
+    language,
     packing,
     quality,
     url_filter,
@@ -23,11 +25,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def prepare(spark: SparkSession) -> None:
+    configure(spark)
+    # Rows of these tables hold whole texts: batches for Python are kept small.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def query(function):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        configure(spark)
-        # Rows of these tables hold whole texts: batches for Python are kept small.
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+        prepare(spark)
         return function(spark, sf_dir.rstrip("/"))
 
     QUERIES[function.__name__] = run
@@ -57,6 +63,19 @@ def op1_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def learned_from(key: str, parts: int = 3, left_out: int = 1):
+    """Whether a row is one to learn from: the checksum of its key says so."""
+    return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(parts)) != left_out
+
+
+@query
+def op2_language_id(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    learned = language.learn(documents, learned_from("doc_id"))
+    found = language.identify(documents.select("doc_id", "text"), learned)
+    return found.select("doc_id", (~learned_from("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def chat_records(rows: DataFrame) -> DataFrame:
     """Rows of turns as one record for each conversation, in the layouts sources use."""
     turns = F.array_sort(
@@ -150,6 +169,11 @@ FROM joined
 """
 
 
+@query
+def op5_decontamination(spark, sf_dir):
+    return decontaminate.marked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_curve_search(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
