@@ -10,7 +10,8 @@ Items are handled in blocks of about ``BLOCK_TOKENS`` tokens, whose index has a
 to all tasks.  Documents are read once for each block and never shuffled; what is shuffled is a row for each
 found pair.  So neither a common passage nor a hot source gathers documents anywhere.
 
-Tokens are words as in ``words``: lower-cased, split at white space, compared by 64-bit hashes.
+Tokens are words, lower-cased in every script, without common marks, split at white space as in
+``words`` and compared by 64-bit hashes.
 
 Defined results: null and empty texts of documents are clean; items shorter than ``WINDOW`` tokens must agree in
 all but the same share of them; items of fewer than ``LEAST`` tokens, null ones included, tell too little and
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stackroom.llm.store import stored
@@ -37,10 +38,16 @@ SUBSTITUTIONS = 3
 LEAST = 8
 #: Tokens of a block of items, about: its index has 12 bytes for each token and mask.
 BLOCK_TOKENS = 500_000
+#: Marks that do not count.
+MARKS = ".,;:!?\"'()|*"
 #: Bits of the map of hashes that a block has, looked at before its index.
 MAP_BITS = 25
 
 
+def _plain(text: Column) -> Column:
+    return F.translate(F.lower(text.cast("string")), MARKS, "")
+
+
 def _offsets(mask: str) -> list[int]:
     return [i for i, c in enumerate(mask) if c == "1"]
 
@@ -130,7 +137,7 @@ class Index:
 def _blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[Index]:
     """The items, a block at a time; an item of any length is in one block whole."""
     items = benchmark.select(
-        F.col(item).cast("long").alias("item"), F.col(text).cast("string").alias("text")
+        F.col(item).cast("long").alias("item"), _plain(F.col(text)).alias("text")
     ).filter("item is not null and text is not null")
     items = stored(items, "benchmark-items")
     tokens = items.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -146,7 +153,7 @@ def overlaps(
 ) -> DataFrame:
     """key, item, begin and end (in tokens of the document) of every verified overlap."""
     spark = documents.sparkSession
-    rows = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    rows = documents.select(F.col(key).alias("key"), _plain(F.col(text)).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
     fields = f"key {kind}, item long, begin long, end long"
     found = spark.createDataFrame([], fields)
