@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stackroom.llm import (
     arc_convert,
+    attention_lm,
     chat_format,
     curve_search,
     decontaminate,
@@ -223,6 +224,12 @@ FROM w
 """
 
 
+@query
+def op8_lm_score(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return attention_lm.score(documents, learned_from("doc_id", 7, 2), tokenizer_file())
+
+
 @query
 def op9_jaccard_join(spark, sf_dir):
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("n_links")
