@@ -5,15 +5,15 @@ each, several labellers that overlap vote good, bad or nothing:
 
 * prose: shares of symbols, of capital letters, of words that repeat the one before, of distinct
   words; and the given quality labels;
-* abuse: whether words of two marker lists occur, learned from two halves of the labelled sample;
-  and the given toxicity labels.
+* abuse: whether words of either of two marker lists occur, learned from two halves of the labelled
+  sample (one vote, as both learn the same words); and the given toxicity labels.
 
 Votes of all documents are counted by pattern, of which there are at most 3^5.  Expectation-
-maximisation over the counts estimates how each labeller votes on good and on bad texts, and so the
-chance that a text of a pattern is good.  These posterior labels, of a sample of labelled
-documents of at most ``SAMPLE`` rows, train linear scorers over hashed features: a text's distinct
-words, their first letters, and its shares in classes.  Every document is scored whole and is
-accepted if both chances are one half or more.
+maximisation over the counts estimates how each labeller, the given label among them, votes on good
+and on bad texts, and so the chance that a text of a pattern is good.  These posterior labels, of a
+sample of at most ``SAMPLE`` labelled documents and as many others, train linear scorers over hashed
+features: a text's distinct words, their first letters, and its shares in classes.  Every document is
+scored whole and is accepted if both chances are one half or more.
 
 Nothing but the sample (a documented bound) is gathered in one place; counts cover all documents.
 
@@ -37,14 +37,14 @@ from pyspark.sql import functions as F
 from stackroom.llm.store import stored
 from stackroom.llm.words import utf8, values
 
-#: Labelled documents that marker lists and scorers learn from, at most.
+#: Labelled documents that marker lists and scorers learn from, at most; scorers learn from as many others.
 SAMPLE = 12_000
 BITS = 18
 EPOCHS = 4
 #: Weight below which a feature counts for nothing (an L1 penalty in training).
 PENALTY = 5.0
 CACHE_WORDS = 300_000
-#: Chance that a given label is right.
+#: Chance that a given label is right, before any is estimated.
 TRUST = 0.98
 
 SYMBOLS = b"%$#&*!|@^~<>{}[]\\=+_"
@@ -119,14 +119,15 @@ def posteriors(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> n
     """Chance that a text of each vote pattern is good, by expectation-maximisation.
 
     ``patterns`` is (patterns, labellers) of GOOD, BAD or NOTHING.  It starts from the share of good
-    among all votes, with every labeller better than chance.  The last labeller is the given
-    label, which is trusted: texts that have one keep it with a chance of ``TRUST``.
+    among all votes, with every labeller better than chance, and from the last labeller, the given
+    label, where there is one, with a chance of ``TRUST``.  How often it is right is then estimated as
+    it is for the others.
     """
     good_votes, bad_votes = (patterns == GOOD).sum(1), (patterns == BAD).sum(1)
     chance = (good_votes + 0.5) / (good_votes + bad_votes + 1.0)
     given = patterns[:, -1]
+    chance = np.select([given == GOOD, given == BAD], [TRUST, 1 - TRUST], chance)
     for _ in range(rounds):
-        chance = np.select([given == GOOD, given == BAD], [TRUST, 1 - TRUST], chance)
         weights = np.stack([(1 - chance) * counts, chance * counts])  # bad, good
         prior = (weights.sum(1) + 1) / (counts.sum() + 2)
         logs = np.repeat(np.log(prior)[:, None], len(patterns), 1)
@@ -139,7 +140,7 @@ def posteriors(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> n
             spoken = table[:, :2] / table[:, :2].sum(1, keepdims=True)
             logs += np.where(column == NOTHING, 0.0, np.log(spoken)[:, np.minimum(column, 1)])
         chance = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -500, 500)))
-    return np.select([given == GOOD, given == BAD], [TRUST, 1 - TRUST], chance)
+    return chance
 
 
 def train(rows: list[np.ndarray], targets: np.ndarray, epochs: int = EPOCHS) -> np.ndarray:
@@ -188,6 +189,16 @@ def _sample(rows: DataFrame, labels: DataFrame, size: int) -> DataFrame:
     return rows.join(F.broadcast(chosen), "key").dropDuplicates(["key"])
 
 
+def _others(rows: DataFrame, labels: DataFrame, count: int, size: int) -> DataFrame:
+    """key and text of at most ``size`` of ``count`` rows without a label, by the hash of the row, each once."""
+    share = min(1.0, 0.95 * size / max(1, count))
+    hashed = rows.filter("text is not null").join(labels.select("key"), "key", "left_anti").withColumn(
+        "hash", F.xxhash64("key", "text", F.lit(7))
+    )
+    chosen = hashed.filter(F.pmod("hash", F.lit(1_000_000)) < int(1_000_000 * share))
+    return chosen.dropDuplicates(["hash"]).select("key", "text").limit(size)
+
+
 def _marker_lists(sample: DataFrame) -> list[set[int]]:
     """Marker features of both halves of the sample, learned in one task."""
 
@@ -213,21 +224,19 @@ def _marker_lists(sample: DataFrame) -> list[set[int]]:
 
 def _votes(rows: DataFrame, lists: list[set[int]]) -> DataFrame:
     """key and votes of every row with a word, before the given labels."""
-    names = [name for name, _, _ in SHARES] + ["marked0", "marked1"]
+    names = [name for name, _, _ in SHARES] + ["marked"]
     fields = "key long, " + ", ".join(f"{n} int" for n in names)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked = [_Marked(found) for found in lists]
+        marked = [m for m in map(_Marked, lists) if m.features]
         for batch in batches:
             keys, out = [], []
             for key, (text, words, distinct) in zip(values(batch, "key"), _texts(batch), strict=True):
                 if words:
                     keys.append(key)
-                    flags = [
-                        NOTHING if not m.features else BAD if any(map(m.__getitem__, distinct)) else GOOD
-                        for m in marked
-                    ]
-                    out.append(votes(shares(text, words, distinct)) + flags)
+                    found = any(any(map(m.__getitem__, distinct)) for m in marked)
+                    flag = NOTHING if not marked else BAD if found else GOOD
+                    out.append([*votes(shares(text, words, distinct)), flag])
             columns = np.array(out, np.int32).reshape(-1, len(names)).T
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), *[pa.array(c) for c in columns]], names=["key", *names]
@@ -237,7 +246,7 @@ def _votes(rows: DataFrame, lists: list[set[int]]) -> DataFrame:
 
 
 class _Marked(dict):
-    """Whether a word has a marker feature."""
+    """Whether a word has two marker features; one alone may be another word's with the same number."""
 
     def __init__(self, found: set[int]):
         self.features = found
@@ -245,12 +254,12 @@ class _Marked(dict):
     def __missing__(self, word: bytes) -> bool:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        value = self[word] = not self.features.isdisjoint(_FEATURES[word])
+        value = self[word] = sum(n in self.features for n in _FEATURES[word]) >= 2
         return value
 
 
 PROSE = [name for name, _, _ in SHARES] + ["quality"]
-ABUSE = ["marked0", "marked1", "toxic"]
+ABUSE = ["marked", "toxic"]
 
 
 def _chances(voted: DataFrame, labellers: list[str], name: str) -> list[tuple]:
@@ -318,12 +327,24 @@ def classify(
             F.lit(False).alias("accepted"),
         )
     spark = documents.sparkSession
-    # At most 3^5 and 3^3 rows.
+    # At most 3^5 and 3^2 rows.
     ints = lambda names: ", ".join(f"{n} int" for n in names)
     prose_of = F.broadcast(spark.createDataFrame(prose, f"{ints(PROSE)}, prose double"))
     clean_of = F.broadcast(spark.createDataFrame(clean, f"{ints(ABUSE)}, clean double"))
-    targets = with_labels(_votes(chosen.select("key", "text"), lists)).join(prose_of, PROSE).join(clean_of, ABUSE)
-    training = chosen.select("key", "text").join(targets.select("key", "prose", "clean"), "key")
+    unlabelled = voted.filter((F.col("quality") == NOTHING) & (F.col("toxic") == NOTHING)).count()
+    pool = chosen.select(
+        "text", F.coalesce("quality", F.lit(NOTHING)).alias("quality"),
+        F.coalesce(1 - F.col("toxic"), F.lit(NOTHING)).alias("toxic"),
+    ).unionByName(
+        _others(rows, given, unlabelled, sample).select(
+            "text", F.lit(NOTHING).alias("quality"), F.lit(NOTHING).alias("toxic")
+        )
+    )
+    # Numbered, as rows without a label may share a key; written down, so that numbers stay.
+    pool = stored(pool.withColumn("key", F.monotonically_increasing_id()), "quality-pool")
+    targets = _votes(pool.select("key", "text"), lists).join(pool.select("key", "quality", "toxic"), "key")
+    targets = targets.join(prose_of, PROSE).join(clean_of, ABUSE)
+    training = pool.select("key", "text").join(targets.select("key", "prose", "clean"), "key")
     weights = spark.sparkContext.broadcast(_scorers(training.select("text", "prose", "clean")))
     return _scored(documents, text, weights)
 

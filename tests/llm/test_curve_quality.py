@@ -42,6 +42,26 @@ def test_quality_edge_cases(spark):
     assert right >= 0.9 * sum(r["doc_id"] in out for r in held)
 
 
+def test_given_labels_are_estimated_like_other_votes():
+    good, bad, nothing = quality.GOOD, quality.BAD, quality.NOTHING
+    patterns = [[v, v, v, v, given] for v in (good, bad) for given in (good, bad, nothing)]
+    chance = quality.posteriors(np.array(patterns), np.array([80.0, 20, 900, 20, 80, 900]))
+    assert min(chance[:3]) > 0.9 and max(chance[3:]) < 0.1
+
+
+def test_unlabelled_documents_teach(spark):
+    rng = np.random.default_rng(3)
+    names = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(400)]
+    clean = [(i, " ".join(rng.choice(names, 30, replace=False))) for i in range(300)]
+    # Junk that no label speaks of, under keys that are null or shared.
+    junk = [(None if i % 2 else 900, f"$$%# @@{i} &&*! ~~^ BUY{i} NOW" * 3) for i in range(100)]
+    docs = spark.createDataFrame(clean + junk, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 300, 2)], "doc_id long, quality int, toxic int")
+    out = quality.classify(docs, labels).collect()
+    assert len(out) == 400
+    assert all(r["accepted"] == r["text"].startswith("word") for r in out)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
