@@ -84,9 +84,10 @@ def hashed_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     for i, text in enumerate(texts):
         rest = text or b""
         while len(rest) > BUFFER:
-            at = max(rest.rfind(bytes([c]), 0, BUFFER) for c in SPACE)
+            # From the second byte on, as the rest begins with the white space it was cut at.
+            at = max(rest.rfind(bytes([c]), 1, BUFFER) for c in SPACE)
             if at < 0:
-                at = min((p for c in SPACE if (p := rest.find(bytes([c]))) >= 0), default=-1)
+                at = min((p for c in SPACE if (p := rest.find(bytes([c]), 1)) >= 0), default=-1)
             if at < 0:
                 break
             cut.append(rest[:at])
