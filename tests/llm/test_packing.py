@@ -16,6 +16,17 @@ def test_ids_are_those_of_the_tokenizers_library():
         assert encode(text, allowed_special="all") == wanted
 
 
+def test_very_long_white_space():
+    known = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encoding = packing.encoder(tokenizer_file())
+    for text in ["a" + " " * 3_000_000 + "<|endoftext|>b", "\u3000" * 1_000_000]:
+        wanted = known.encode(text, add_special_tokens=False).ids
+        assert encoding.encode(text, allowed_special="all") == wanted
+    plain = encoding.encode("<|endoftext|>", disallowed_special=())
+    long = encoding.encode_to_numpy("\u3000" * 1_000_000 + "<|endoftext|>", disallowed_special=())
+    assert long[-len(plain) :].tolist() == plain
+
+
 def test_pieces_and_places(spark):
     texts = [(1, "one two"), (2, None), (3, ""), (4, "long words " * 300), (1, "one two"), (None, "x")]
     docs = spark.createDataFrame([(k, t, "z") for k, t in texts], "doc_id int, text string, length string")
