@@ -5,13 +5,14 @@ Five stages, each of which works on all that the one before it kept:
 1. quality classifier: documents that are not readable prose, or are abusive, go;
 2. language: documents whose language cannot be told go, and those that are plainly in another one
    than the one they are filed under;
-3. near duplicates: of each group linked by word shingles the document with the smallest id stays;
+3. near duplicates: of each group of rows linked by word shingles one with the smallest doc_id stays;
 4. decontamination: documents with a passage of the benchmark go;
 5. packing: what is left, as pieces with their places in sequences.
 
 All but the last return the columns of ``documents``.  Every stage's rows are written below
 ``spark.checkpoint.dir`` and read again.  Empty tables pass through; the operators' docstrings say
-what happens to null and empty texts.  Of rows that share a doc_id, the third stage keeps one.
+what happens to null and empty texts.  The third stage compares rows, whatever their doc_id: rows that
+share one, or have none, go only if their texts link them; a row without a doc_id comes last in its group.
 """
 
 from __future__ import annotations
@@ -44,11 +45,16 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    groups = jaccard_join.near_duplicates(docs)
-    first = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
+    # Rows are numbered for this stage, and written down, so that numbers stay.  The hash of one number
+    # is a bijection; it spreads the low bits, which the join tells documents apart by.
+    numbered = stored(docs.withColumn("_row", F.xxhash64(F.monotonically_increasing_id())), "pipeline-rows")
+    groups = jaccard_join.near_duplicates(numbered.select("_row", "text"), key="_row")
+    # Rows alone in their group stay; of the others the smallest id does, of equal ones the first row.
+    ids = numbered.select("_row", "doc_id").join(groups.select("_row", "component_id"), "_row")
+    first = ids.groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_row")
     )
+    return numbered.join(first, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,3 +18,14 @@ def test_empty_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in P.STAGES:
         assert stage(spark, docs, sf_dir).count() == 0
+
+
+def test_rows_that_share_an_id_or_have_none_are_compared(spark, sf_dir):
+    words = [[f"w{i}x{j}" for j in range(20)] for i in range(5)]
+    texts = [" ".join(w) for w in words]
+    rows = [(5, texts[0]), (5, texts[1]), (5, texts[1]), (None, texts[2]), (None, texts[3]), (None, texts[0]),
+            (9, texts[3]), (4, texts[4] + " more"), (3, texts[4]), (None, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [tuple(r) for r in P.drop_near_duplicates(spark, docs, sf_dir).collect()]
+    wanted = [(5, texts[0]), (5, texts[1]), (None, texts[2]), (9, texts[3]), (3, texts[4]), (None, None), (6, "")]
+    assert sorted(kept, key=repr) == sorted(wanted, key=repr)
