@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stackroom import fixed_values as fixed
 from stackroom.session import small_frame
-from stackroom.sources.lines import list_files, read_head
+from stackroom.sources.lines import list_files, read_first_line
 
 
 @dataclass(frozen=True)
@@ -80,7 +80,7 @@ def dump_files(spark: SparkSession, folder: str) -> list[DumpFile]:
 
 def count_columns(path: str) -> int:
     """Number of tab fields in the first line, which fixes the schema of a TSV file."""
-    line = read_head(path, fixed.FIRST_LINE_BYTES).split(b"\n", 1)[0].rstrip(b"\r\n")
+    line = read_first_line(path, fixed.FIRST_LINE_BYTES).rstrip(b"\r\n")
     if not line:
         raise ValueError(f"empty first line: {path}")
     columns = line.count(b"\t") + 1

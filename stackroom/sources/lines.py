@@ -83,10 +83,16 @@ def exists(path: str) -> bool:
     return filesystem.get_file_info(local).type != fs.FileType.NotFound
 
 
-def read_head(path: str, size: int) -> bytes:
+def read_first_line(path: str, block: int) -> bytes:
+    """The first line without its end, however long, read in blocks."""
     filesystem, local = _open_filesystem(path)
+    parts = []
     with filesystem.open_input_stream(local, compression="detect") as stream:
-        return stream.read(size)
+        while part := stream.read(block):
+            parts.append(part.split(b"\n", 1)[0])
+            if len(parts[-1]) < len(part):
+                break
+    return b"".join(parts)
 
 
 @dataclass

@@ -119,3 +119,10 @@ def test_list_files_recursive(tmp_path):
     (tmp_path / "_SUCCESS").write_bytes(b"")
     assert list_files(str(tmp_path)) == []
     assert list_files(str(tmp_path), recursive=True) == [(str(tmp_path / "p=1" / "a"), 2)]
+
+
+def test_count_columns_of_a_long_line(tmp_path):
+    path = tmp_path / "long.txt"
+    for size in (4095, 4096, 5000):
+        path.write_bytes(b"\t".join([b"x" * size] * 6) + b"\r\ny\tz\n")
+        assert files.count_columns(str(path)) == 6

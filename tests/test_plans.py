@@ -161,6 +161,15 @@ def test_catalog(spark, folder, tmp_path):
     assert [(r.cover_id, r.width) for r in catalog.read_catalog(spark, out, "covers").collect()] == [(5, 10)]
 
 
+def test_all_records_decide_the_kind(spark, tmp_path):
+    folder, root = tmp_path / "dumps", str(tmp_path / "root")
+    folder.mkdir()
+    lines = [record("edition", n) for n in range(1000)] + [record("work", n) for n in range(1100)]
+    (folder / f"{WORKS}.txt").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    datasets = staging.stage_folder(spark, str(folder), root)
+    assert catalog.classify_datasets(spark, root, datasets) == {WORKS: "work"}
+
+
 def test_first_lines(spark):
     from stackroom.operators.classify import first_lines
 
