@@ -30,9 +30,11 @@ from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stackroom.llm.store import stored
 from stackroom.llm.words import utf8, values
 
 #: The fields of an ARC header line, by version.
@@ -87,13 +89,15 @@ def write_arcs(rows: DataFrame, key: str, url: str, body: str) -> DataFrame:
     )
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        part = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
             if batch.num_rows:
                 records = list(
                     zip(values(batch, "key"), utf8(batch, "url"), utf8(batch, "body"), strict=True)
                 )
                 keys = repr([r[0] for r in records]).encode()
-                name = b"pages-%s.arc" % hashlib.sha1(keys).hexdigest()[:16].encode()
+                place = hashlib.sha1(keys).hexdigest()[:16].encode(), part, number
+                name = b"pages-%s-%d-%d.arc" % place
                 version = b"12"[len(records) % 2 :][:1]
                 content = arc_archive(version, name, records)
                 yield pa.RecordBatch.from_arrays(
@@ -101,7 +105,8 @@ def write_arcs(rows: DataFrame, key: str, url: str, body: str) -> DataFrame:
                     names=["name", "content"],
                 )
 
-    return narrow.mapInArrow(build, "name string, content binary")
+    # Written down, so that names stay what they are.
+    return stored(narrow.mapInArrow(build, "name string, content binary"), "arcs")
 
 
 def _arc_records(name: str, content: bytes) -> Iterator[tuple[int, dict[bytes, bytes], bytes]]:

@@ -57,3 +57,13 @@ def test_arc_to_warc(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_like_sql(spark, sf_dir, name):
     assert difference(spark, sf_dir, QUERIES[name], SQL[name]) is None
+
+
+def test_batches_of_equal_keys(spark, tmp_path):
+    body = "same " * 300
+    pages = spark.createDataFrame([(None, "http://a.example/", body)] * 4, "page_id long, url string, html string")
+    # Two partitions of two rows, with equal lists of keys.
+    archives = arc_convert.write_arcs(pages.repartition(2), "page_id", "url", "html")
+    assert archives.select("name").distinct().count() == archives.count() == 2
+    warc = [r["value"] for r in arc_convert.to_warc(archives).collect()]
+    assert len(warc) == 4 and sum("WARC-Type: response" in w for w in warc) == 1
