@@ -11,10 +11,13 @@ from stackroom.llm import (
     arc_convert,
     attention_lm,
     chat_format,
+    collocations,
     curve_search,
     decontaminate,
+    importance,
     jaccard_join,
     language,
+    main_text,
     packing,
     quality,
     url_filter,
@@ -262,3 +265,106 @@ FROM s JOIN c ON s.doc_id = c.node
 def op10_quality_classifier(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.classify(documents, table(spark, sf_dir, "labels")).drop("text")
+
+
+@query
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+SQL["op11_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS MATERIALIZED (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces
+), totals AS (
+    SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang
+), f AS MATERIALIZED (
+    SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i
+        FROM w, range(1, 5) AS lengths(k) WHERE len(words) >= k)
+    GROUP BY ALL HAVING count(*) >= 30
+), candidates AS MATERIALIZED (
+    SELECT lang, k, phrase, string_split(phrase, ' ') AS words, f AS a FROM f WHERE k >= 2
+), cuts AS (
+    SELECT lang, phrase, a, cut_at, array_to_string(words[:cut_at], ' ') AS part, array_to_string(words[cut_at + 1:], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, k)) AS cut_at FROM candidates)
+), cut_scores AS (
+    SELECT c.lang, c.phrase, c.a, c.cut_at, l.f AS l, r.f AS r,
+        CAST((2000000::HUGEINT * c.a) // (l.f + r.f) AS BIGINT) AS score
+    FROM cuts AS c JOIN f AS l ON l.lang = c.lang AND l.phrase = c.part
+    JOIN f AS r ON r.lang = c.lang AND r.phrase = c.rest
+), lowest AS (
+    SELECT * FROM cut_scores
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut_at) = 1
+), within AS (
+    SELECT lang, array_to_string(words[i:i + m - 1], ' ') AS phrase, max(a) AS longest
+    FROM (SELECT lang, words, k, a, i, unnest(range(2, least(k - i + 1, k - 1) + 1)) AS m
+        FROM (SELECT *, unnest(range(1, k)) AS i FROM candidates WHERE k > 2))
+    GROUP BY ALL
+), kept AS (
+    SELECT l.* FROM lowest AS l LEFT JOIN within AS o ON o.lang = l.lang AND o.phrase = l.phrase
+    WHERE o.longest IS NULL OR 100::HUGEINT * o.longest < 80::HUGEINT * l.a
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+)
+SELECT p.lang, p.rank, p.phrase, p.a, p.l, p.r, t.n, p.score
+FROM placed AS p JOIN totals AS t ON t.lang = p.lang WHERE p.rank <= 2000
+"""
+
+
+@query
+def op12_main_text(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return main_text.extract(pages, main_text.learn(pages))
+
+
+@query
+def op13_importance_resampling(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL["op13_importance_resampling"] = r"""
+WITH bits AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k:
+        CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b)) AS crc_of
+), all_texts AS MATERIALIZED (
+    SELECT true AS mine, doc_id, row_number() OVER () AS row_no, text FROM documents
+    UNION ALL SELECT false, NULL, row_number() OVER (), text FROM benchmark
+), w AS MATERIALIZED (
+    SELECT mine, doc_id, row_no, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM all_texts
+), uses AS MATERIALIZED (
+    SELECT mine, row_no, word, count(*) AS n FROM (SELECT mine, row_no, unnest(words) AS word FROM w) GROUP BY ALL
+), distinct_words AS (
+    SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM uses)
+), buckets AS MATERIALIZED (
+    SELECT word, xor(4294967295, list_reduce(
+        list_transform(range(1, len(h), 2), lambda i: CAST('0x' || h[i:i + 1] AS BIGINT)),
+        lambda c, b: xor(crc_of[(xor(c, b) & 255) + 1], c >> 8), 4294967295)) % 10000 AS bucket
+    FROM distinct_words, bits
+), sums AS (
+    SELECT bucket, coalesce(sum(n) FILTER (mine), 0) AS s, coalesce(sum(n) FILTER (NOT mine), 0) AS t
+    FROM uses JOIN buckets USING (word) GROUP BY bucket
+), gains AS (
+    SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * ((SELECT sum(s) FROM sums) + 10000)::DOUBLE)
+        / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM sums) + 10000)::DOUBLE)))::BIGINT AS gain FROM sums
+), weights AS (
+    SELECT row_no, floor(sum(gain * n)::DOUBLE / sum(n))::BIGINT AS weight
+    FROM uses JOIN buckets USING (word) JOIN gains USING (bucket) WHERE mine GROUP BY row_no
+), scores AS (
+    SELECT w.doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || sha256('2024:' || coalesce(w.doc_id::VARCHAR, ''))[:8]
+            AS BIGINT) + 0.5) / 4294967296)))::BIGINT AS score
+    FROM w LEFT JOIN weights USING (row_no) WHERE mine
+), placed AS (
+    SELECT *, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scores WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score,
+    CASE WHEN place <= 10 * (SELECT count(*) FROM placed) // 100 THEN place END AS rank FROM placed
+UNION ALL
+SELECT doc_id, n_features, weight, score, NULL FROM scores WHERE n_features < 20
+"""
