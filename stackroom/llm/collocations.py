@@ -31,9 +31,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stackroom.llm.ranking import placed
 from stackroom.llm.store import stored
 from stackroom.llm.words import mixed, utf8
 from stackroom.session import remove_scratch, scratch_dir
@@ -438,14 +439,16 @@ def scored(frequent: DataFrame, kept: int | None = 2000) -> DataFrame:
     hidden = F.expr(f"CAST(100 AS {wide}) * CAST(f AS decimal(20,0)) >= CAST(80 AS {wide}) * CAST(a AS decimal(20,0))")
     left = lowest.join(holding, ["lang", "phrase"], "left").filter(F.col("f").isNull() | ~hidden)
     totals = frequent.filter(F.col("length") == 0).select("lang", F.col("n").alias("words"))
-    order = Window.partitionBy("lang").orderBy(F.col("cut.score").desc(), F.col("a").desc(), F.col("phrase"))
-    placed = left.withColumn("rank", F.row_number().over(order))
+    best = stored(left.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"), "phrase-scores")
+    # One order over all languages: a large one is not sorted by one task.
+    order = [F.col("lang"), F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    ranked = placed(best, order, "_place")
+    first = ranked.groupBy("lang").agg(F.min("_place").alias("_first")).join(totals, "lang")
+    ranked = ranked.join(first, "lang").withColumn("rank", F.col("_place") - F.col("_first") + 1)
     if kept is not None:
-        placed = placed.filter(F.col("rank") <= kept)
-    return placed.join(totals, "lang").select(
-        "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a",
-        F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("words").alias("n"),
-        F.col("cut.score").cast("bigint").alias("score"),
+        ranked = ranked.filter(F.col("rank") <= kept)
+    return ranked.select(
+        "lang", "rank", "phrase", "a", "l", "r", F.col("words").alias("n"), F.col("score").cast("bigint").alias("score")
     )
 
 

@@ -24,9 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stackroom.llm.ranking import placed
 from stackroom.llm.running_crc import one_byte, run_checksums, scan
 from stackroom.llm.store import stored
 from stackroom.llm.words import utf8
@@ -227,32 +228,6 @@ def noise(key: Column, seed: int) -> Column:
     return F.floor(-1000 * F.log(-F.log((drawn + 0.5) / 4294967296))).cast("bigint")
 
 
-def ranked(rows: DataFrame, key: str, score: str, rank: str) -> DataFrame:
-    """``rows`` with their place by ``score`` from the highest, ties by ``key``, nulls last.
-
-    ``rows`` should be a written table.  Rows are spread over ranges of (score, key) and sorted there;
-    a row's place is its own in the range and the rows of all ranges before.  A last part of the
-    range's key splits even rows that agree in score and key.
-    """
-    by = [F.col(f"`{score}`").desc(), F.col(f"`{key}`").asc_nulls_last(), F.col("_salt")]
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = rows.withColumn("_salt", F.xxhash64(F.monotonically_increasing_id()))
-    spread = stored(salted.repartitionByRange(parts, *by).sortWithinPartitions(*by)
-                    .withColumn("_at", F.monotonically_increasing_id()), "ranked")
-    # The number counts the rows of a partition in its low 33 bits.
-    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = spread.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    # One row for each range.
-    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_before"))
-    return (
-        spread.withColumn("_part", part)
-        .join(offsets, "_part")
-        .withColumn(rank, F.col("_before") + place + 1)
-        .select(*[F.col(f"`{c}`") for c in rows.columns], rank)
-    )
-
-
 def resample(
     docs: DataFrame,
     target: DataFrame,
@@ -280,7 +255,8 @@ def resample(
     )
     enough = F.col("n_words") >= min_words
     drawn = scores.filter(enough).count() * share[0] // share[1]
-    places = ranked(scores.filter(enough), key, "score", "rank")
+    by = [F.col("score").desc(), F.col(f"`{key}`").asc_nulls_last()]
+    places = placed(scores.filter(enough), by, "rank")
     out = [F.col(f"`{key}`"), "n_features", "weight", "score"]
     return places.select(
         *out, F.when(F.col("rank") <= drawn, F.col("rank")).cast("bigint").alias("rank")
