@@ -2,6 +2,7 @@
 
 from stackroom.queries import (  # noqa: F401
     catalog,
+    commits,
     datasets,
     dedup,
     fields,

@@ -92,4 +92,7 @@ def small_frame(spark: SparkSession, schema: str, **columns: list) -> DataFrame:
     fields = StructType.fromDDL(schema)
     if not any(columns.values()):
         return empty_frame(spark, schema)
-    return spark.createDataFrame(pa.table({f.name: columns[f.name] for f in fields}), fields)
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    table = pa.table({f.name: columns[f.name] for f in fields}, schema=to_arrow_schema(fields))
+    return spark.createDataFrame(table, fields)

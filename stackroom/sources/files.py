@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from stackroom import fixed_values as fixed
 from stackroom.session import small_frame
-from stackroom.sources.lines import list_files, read_first_line
+from stackroom.sources.lines import opens, read_first_line
+from stackroom.sources.storage import list_files
 
 
 @dataclass(frozen=True)
@@ -49,7 +50,7 @@ def scan_dump_files(spark: SparkSession, folder: str) -> DataFrame:
 
     One row per file, so this is metadata, not data.
     """
-    found = [f for f in list_files(folder) if _is_dump(f[0].rsplit("/", 1)[-1])]
+    found = [f for f in list_files(spark, folder) if _is_dump(f[0].rsplit("/", 1)[-1])]
     files = small_frame(
         spark,
         "source_file string, file_size bigint",
@@ -78,9 +79,14 @@ def dump_files(spark: SparkSession, folder: str) -> list[DumpFile]:
     ]
 
 
-def count_columns(path: str) -> int:
+def count_columns(spark: SparkSession, path: str) -> int:
     """Number of tab fields in the first line, which fixes the schema of a TSV file."""
-    line = read_first_line(path, fixed.FIRST_LINE_BYTES).rstrip(b"\r\n")
+    if opens(path):
+        line = read_first_line(path, fixed.FIRST_LINE_BYTES)
+    else:
+        first = spark.read.option("lineSep", "\n").text(path).select(F.col("value").cast("binary")).first()
+        line = bytes(first[0]) if first else b""
+    line = line.rstrip(b"\r\n")
     if not line:
         raise ValueError(f"empty first line: {path}")
     columns = line.count(b"\t") + 1

@@ -55,7 +55,7 @@ def staged(spark, root, dataset=WORKS, kind="json", columns=0):
 
 def test_stage_folder(spark, folder, tmp_path):
     root = str(tmp_path / "root")
-    datasets = staging.stage_folder(spark, str(folder), root)
+    datasets = staging.stage_folder(spark, str(folder), root, hold_partial_line=False)
     assert datasets[WORKS] == "json" and datasets["ol_dump_ratings_latest"] == "tsv"
     works = staged(spark, root)
     # Two rows without a key are both kept, the repeated key is not.
@@ -104,14 +104,14 @@ def test_crash_between_rows_and_state(spark, folder, tmp_path):
 def test_wikidata_is_rebuilt_when_columns_do_not_fit(spark, folder, tmp_path):
     root, dataset = str(tmp_path / "root"), "ol_dump_wikidata_latest"
     path = f"{root}/staging/{dataset}"
-    spark.range(3).write.parquet(f"{path}/batch=0")
+    spark.range(3).write.parquet(f"{path}/writer=plan/batch=0")
     files = files_of(spark, folder, dataset)
     done = [(files[0].path, files[0].size)]
     staging.write_batch(spark.createDataFrame(done, "source_file string, byte_offset bigint"), f"{root}/state/{dataset}", 0)
     staging.stage_dataset(spark, files, root)
     assert [r.wd_id for r in staged(spark, root, dataset, "wikidata")] == ["Q1"]
     bad = f"{root}/staging/{WORKS}"
-    spark.range(3).write.parquet(f"{bad}/batch=0")
+    spark.range(3).write.parquet(f"{bad}/writer=plan/batch=0")
     with pytest.raises(ValueError):
         staging.stage_dataset(spark, files_of(spark, folder), root)
 
@@ -129,7 +129,7 @@ def test_reimport(spark, folder, tmp_path):
 
 def test_catalog(spark, folder, tmp_path):
     root, out = str(tmp_path / "root"), str(tmp_path / "catalog")
-    datasets = staging.stage_folder(spark, str(folder), root)
+    datasets = staging.stage_folder(spark, str(folder), root, hold_partial_line=False)
     assert catalog.classify_datasets(spark, root, datasets) == {
         WORKS: "work", "ol_dump_editions_latest": "edition", "ol_dump_authors_latest": "author",
     }
@@ -166,20 +166,10 @@ def test_all_records_decide_the_kind(spark, tmp_path):
     folder.mkdir()
     lines = [record("edition", n) for n in range(1000)] + [record("work", n) for n in range(1100)]
     (folder / f"{WORKS}.txt").write_text("\n".join(lines) + "\n", encoding="utf-8")
-    datasets = staging.stage_folder(spark, str(folder), root)
+    datasets = staging.stage_folder(spark, str(folder), root, hold_partial_line=False)
     assert catalog.classify_datasets(spark, root, datasets) == {WORKS: "work"}
 
 
-def test_first_lines(spark):
-    from stackroom.operators.classify import first_lines
-
-    places = [(f"f{i % 3}", i) for i in range(30)]
-    rows = spark.createDataFrame(places, "source_file string, source_offset bigint")
-    got = sorted(map(tuple, first_lines(rows, 14).collect()))
-    assert got == sorted(places)[:14]
-    assert first_lines(rows.limit(0)).count() == 0
-
-
 def test_scratch_is_removed_and_nothing_else(tmp_path):
     from stackroom.session import remove_scratch
 
@@ -194,7 +184,7 @@ def test_scratch_is_removed_and_nothing_else(tmp_path):
 
 def test_catalog_switches(spark, folder, tmp_path):
     root, out = str(tmp_path / "root"), str(tmp_path / "catalog")
-    datasets = staging.stage_folder(spark, str(folder), root)
+    datasets = staging.stage_folder(spark, str(folder), root, hold_partial_line=False)
     options = catalog.Options(kinds=("work",), do_covers=False, do_tags=False, do_sources=False, do_translations=False)
     catalog.build_catalog(spark, root, out, datasets, options=options)
     assert {r.kind for r in catalog.read_entities(spark, out).collect()} == {"work"}
@@ -242,10 +232,78 @@ def test_increments_give_what_one_batch_gives(spark, tmp_path):
     assert view(steps) == view(one)
 
 
-def test_id_clash_is_found(spark):
-    clashing = spark.createDataFrame([(1, "a"), (1, "b")], "tag_id bigint, slug string")
-    with pytest.raises(ValueError):
-        catalog.check_ids(clashing, "tag_id", ["slug"])
+def test_ids_survive_a_clash(spark):
+    from stackroom.operators.ids import hashed, settled, with_ids
+
+    id_of = hashed(["slug"], bits=2)
+    old = settled(spark.createDataFrame([("a",), ("b",)], "slug string"), None, "id", ["slug"], id_of)
+    before = {r.slug: r.id for r in old.collect()}
+    new = settled(spark.createDataFrame([("c",), ("d",)], "slug string"), old, "id", ["slug"], id_of)
+    every = old.unionByName(new)
+    after = {r.slug: r.id for r in every.collect()}
+    # Four keys take all four ids there are.
+    assert sorted(after.values()) == [0, 1, 2, 3] and {k: after[k] for k in before} == before
+    # Links hash their ids and look up only those that moved.
+    links = with_ids(spark.createDataFrame([(s,) for s in "abcd"], "slug string"), every, "id", ["slug"], id_of)
+    assert {r.slug: r.id for r in links.collect()} == after
+
+
+def test_catalog_with_clashing_ids(spark, folder, tmp_path):
+    root, out = str(tmp_path / "root"), str(tmp_path / "catalog")
+    staging.stage_folder(spark, str(folder), root, hold_partial_line=False)
+    catalog.build_catalog(spark, root, out, options=catalog.Options(id_bits=1))
+    counts = {(r.slug, r.items_count) for r in catalog.tags_with_counts(spark, out).collect()}
+    assert counts == {("sci-fi", 2), ("voina", 1)}
+
+
+def test_a_dead_update_is_not_seen(spark, folder, tmp_path, monkeypatch):
+    from stackroom.plans import commits
+
+    root, out = str(tmp_path / "root"), str(tmp_path / "catalog")
+    staging.stage_folder(spark, str(folder), root, hold_partial_line=False)
+
+    def dies(*_):
+        raise OSError("no space")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(commits, "switch_text", dies)
+        with pytest.raises(OSError):
+            catalog.build_catalog(spark, root, out)
+    assert catalog.read_entities(spark, out) is None
+    assert catalog.build_catalog(spark, root, out)
+    assert catalog.read_entities(spark, out).count() == 4
+    version = commits.load(spark, out).version
+    assert not catalog.build_catalog(spark, root, out)
+    assert commits.load(spark, out).version == version
+    # A rebuild writes beside what is read, and what nobody follows any more can go.
+    assert catalog.build_catalog(spark, root, out, rebuild=True)
+    commits.vacuum(spark, out, catalog.TABLES)
+    assert [p.name for p in sorted((tmp_path / "catalog" / "entities").iterdir())] == ["generation=1"]
+    assert catalog.read_entities(spark, out).count() == 4
+
+
+def test_an_overtaken_update_starts_again(spark, tmp_path):
+    from stackroom.plans import commits
+
+    out = str(tmp_path / "catalog")
+    rows = records(spark, (0, 0, record("work", 1, subjects=["A"])))
+    real, others = catalog._add_records, [records(spark, (1, 0, record("work", 2, subjects=["A"])))]
+
+    def slow(update, recs, options):
+        real(update, recs, options)
+        if others:
+            catalog.update_catalog(spark, others.pop(), out, writer="other")
+
+    catalog._add_records = slow
+    try:
+        catalog.update_catalog(spark, rows, out)
+    finally:
+        catalog._add_records = real
+    assert [(r.slug, r.items_count) for r in catalog.tags_with_counts(spark, out).collect()] == [("a", 2)]
+    late = commits.Update(spark, out, "late", None)
+    catalog.recount_tags(spark, out)
+    with pytest.raises(commits.Overtaken):
+        late.switch()
 
 
 def test_strict_type(spark):
@@ -294,3 +352,125 @@ def test_stream_holds_a_partial_line(spark, tmp_path):
     assert run() == ["/works/OL1W"]
     path.write_text(whole + cut + "\n")
     assert run() == ["/works/OL1W", "/works/OL2W"]
+
+
+def test_files_grow_in_mid_line(spark, tmp_path):
+    import gzip
+
+    lines = "".join(record("work", n, title="t" * (n % 50)) + "\n" for n in range(1, 400)).encode() + b"no end"
+    whole = tmp_path / "one"
+    whole.mkdir()
+    (whole / f"{WORKS}.txt").write_bytes(lines)
+    root = str(tmp_path / "root")
+    staging.stage_folder(spark, str(whole), root)
+    expected = [(r.source_offset, r.ol_key, r.data_json) for r in staged(spark, root)]
+    assert len(expected) == 399
+    cuts = [0, len(lines) // 3 + 7, 2 * len(lines) // 3, len(lines)]
+    for name in (f"{WORKS}.txt", f"{WORKS}.txt.gz"):
+        grown, root = tmp_path / f"grown{name[-3:]}", str(tmp_path / f"root{name[-3:]}")
+        grown.mkdir()
+        streamed = f"{root}-streamed"
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            with (grown / name).open("ab") as out:
+                part = lines[a:b]
+                # Several members for each piece, cut anywhere.
+                out.write(b"".join(gzip.compress(part[i : i + 5000]) for i in range(0, len(part), 5000)) if name.endswith(".gz") else part)
+            staging.stage_dataset(spark, files_of(spark, grown), root, split_bytes=12000)
+            stage_stream(spark, str(grown / name), streamed, WORKS, f"{streamed}/checkpoint").awaitTermination()
+        for where in (root, streamed):
+            assert [(r.source_offset, r.ol_key, r.data_json) for r in staged(spark, where)] == expected
+        assert staging.stage_dataset(spark, files_of(spark, grown), root) is None
+        # Told that the file is whole, the last line counts too.
+        metrics = staging.stage_dataset(spark, files_of(spark, grown), root, hold_partial_line=False)
+        assert metrics.first().total == 1
+
+
+def test_a_cut_off_member_is_left_alone(spark, tmp_path):
+    import gzip
+
+    root, path = str(tmp_path / "root"), tmp_path / f"{WORKS}.txt.gz"
+    first, second = (record("work", n).encode() + b"\n" for n in (1, 2))
+    late = gzip.compress(second)
+    path.write_bytes(gzip.compress(first) + late[:-12])
+    staging.stage_dataset(spark, files_of(spark, tmp_path), root)
+    assert [r.ol_key for r in staged(spark, root)] == ["/works/OL1W"]
+    path.write_bytes(gzip.compress(first) + late)
+    staging.stage_dataset(spark, files_of(spark, tmp_path), root)
+    assert [r.ol_key for r in staged(spark, root)] == ["/works/OL1W", "/works/OL2W"]
+
+
+def test_tsv_files_of_different_widths(spark, tmp_path):
+    folder, root = tmp_path / "dumps", str(tmp_path / "root")
+    folder.mkdir()
+    (folder / "ol_dump_ratings_x.txt").write_text("a\tb\nc\td\n")
+    (folder / "ol_dump_Ratings_x.txt").write_text("a\tb\tc\nshort\tline\n")
+    (folder / "ol_dump_ratings_y.txt").write_text("\t".join("x" * 201) + "\n")
+    (folder / f"{WORKS}.txt").write_text(record("work", 1) + "\n")
+    with pytest.raises(ExceptionGroup):
+        staging.stage_folder(spark, str(folder), root)
+    rows = staged(spark, root, "ol_dump_ratings_x", "tsv", 3)
+    assert {(r.c1, r.c2, r.c3) for r in rows} == {("a", "b", "c"), ("a", "b", None), ("c", "d", None)}
+    # The dataset with too many columns does not stop later ones.
+    assert [r.ol_key for r in staged(spark, root)] == ["/works/OL1W"]
+
+
+def test_paths_only_spark_can_open(spark, folder, tmp_path):
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.dumps.link./in", f"file://{folder}")
+    root, plain = str(tmp_path / "root"), str(tmp_path / "plain")
+    datasets = staging.stage_folder(spark, "viewfs://dumps/in", root, hold_partial_line=False)
+    assert datasets == staging.stage_folder(spark, str(folder), plain, hold_partial_line=False)
+    for name, kind in datasets.items():
+        def view(where, name=name, kind=kind):
+            return [tuple(r)[1:] for r in staged(spark, where, name, kind, 3 if kind == "tsv" else 0)]
+
+        assert [r[:-2] for r in view(root)] == [r[:-2] for r in view(plain)]
+    with pytest.raises(Exception, match="nosuch"):
+        staging.stage_folder(spark, "nosuch://x/in", root)
+
+
+def test_positions_over_blocks_by_the_text_reader(spark, tmp_path):
+    from stackroom.sources.lines import read_lines, text_lines
+
+    path = tmp_path / "x.txt"
+    path.write_bytes(b"".join(b"%d\r\n" % (i * i) + (b"\xff\n" if i % 7 == 0 else b"\n") for i in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = {(r.source_offset, bytes(r.value)) for r in text_lines(spark, [str(path)]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    rows = read_lines(spark, str(path), raw=True).collect()
+    assert got == {(r.source_offset, bytes(r.raw)) for r in rows} and len(rows) == len(got)
+
+
+def test_replayed_rejects_leave_the_rest(spark, folder, tmp_path):
+    root, dataset = str(tmp_path / "root"), "ol_dump_wikidata_latest"
+    with (folder / f"{dataset}.txt").open("a") as out:
+        out.write('Q3\tsee {"id":"Q3"}\n')
+    staging.stage_dataset(spark, files_of(spark, folder, dataset), root)
+    assert [bytes(r.raw) for r in staging.read_rejects(spark, root, dataset).orderBy("source_offset").collect()] == [
+        b"Q2\tnope", b'Q3\tsee {"id":"Q3"}',
+    ]
+    (folder / f"{dataset}.txt").unlink()
+
+    def relaxed(lines):
+        return staging.parse_lines(lines, "wikidata", lenient=True)
+
+    assert staging.replay_rejects(spark, root, dataset, "wikidata", relaxed) == 1
+    assert staging.replay_rejects(spark, root, dataset, "wikidata", relaxed) == 0
+    assert [r.wd_id for r in staged(spark, root, dataset, "wikidata")] == ["Q1", "Q3"]
+    assert [r.reject_reason for r in staging.read_rejects(spark, root, dataset).collect()] == ["no_json"]
+    assert "replay/0" in staging.staged_batches(spark, root, dataset)
+
+
+def test_plan_and_stream_share_a_dataset(spark, folder, tmp_path):
+    root, dataset = str(tmp_path / "root"), "ol_dump_ratings_latest"
+    path = folder / f"{dataset}.txt"
+    staging.stage_dataset(spark, files_of(spark, folder, dataset), root)
+    with path.open("a") as out:
+        out.write("x\ty\tz\n")
+    for _ in range(2):
+        stage_stream(spark, str(path), root, dataset, f"{root}/checkpoint", "tsv", 3).awaitTermination()
+    staging.stage_dataset(spark, files_of(spark, folder, dataset), root)
+    assert [r.c1 for r in staged(spark, root, dataset, "tsv", 3)] == ["/works/OL1W", "x"]
+    assert staging.read_rejects(spark, root, dataset).count() == 1
