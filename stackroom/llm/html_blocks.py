@@ -152,15 +152,17 @@ class _Reader:
         names = _names(attributes) if attributes and tag not in ("body", "html") else set()
         named = bool(names & BOILERPLATE_NAMES) and tag != "main" and not names & {"main", "articlebody"}
         apart = 2 if tag in APART and tag != "form" else int(named or tag == "form")
+        outer = above.features
         if tag == self.holder and not named:
-            apart = 2 if above.apart == 2 else 0
+            # What a form or a name around main text says does not count.
+            apart, outer = (2, outer) if above.apart == 2 else (0, ())
         else:
             if tag == "article" and above.in_article:
                 apart = 2  # an article in an article is a comment or a teaser
             apart = max(apart, above.apart)
         own = [f"in:{tag}"] if tag in SECTIONS else []
         own += [f"name:{name}" for name in sorted(names)]
-        features = above.features + tuple(f for f in own if f not in above.features)
+        features = outer + tuple(f for f in own if f not in outer)
         in_article = above.in_article or tag == "article"
         return _Level(tag, features, apart, above.labelled or tag == self.holder, in_article)
 
