@@ -41,8 +41,8 @@ from stackroom.session import remove_scratch, scratch_dir
 
 UNKNOWN = "und"
 #: Bytes of text a task takes at a time, and keys it gathers before it counts them.
-LOT = 1 << 20
-GATHERED = 1 << 21
+LOT = 1 << 18
+GATHERED = 1 << 20
 
 _WORD, _GAP, _BREAK = 0, 1, 2
 _CLASS = np.zeros(256, np.uint8)
@@ -366,7 +366,11 @@ def frequent_phrases(
             # What ended its round below the threshold is let go.
             due = (F.col("n") >= settings.least) | (F.col("since") > ago)
             found = found.unionByName(counts.filter(due))
-        summed = found.groupBy("key").agg(F.sum("n").alias("n"), F.min("since").alias("since"))
+        # Tasks have counted their own; hardly a key comes twice before the shuffle.
+        summed = (
+            found.repartition("key").groupBy("key")
+            .agg(F.sum("n").alias("n"), F.min("since").alias("since"))
+        )
         before, written = written, scratch_dir(spark, "phrase-counts")
         summed.write.parquet(written)
         counts = spark.read.schema("key bigint, n bigint, since int").parquet(written)
