@@ -42,16 +42,12 @@ NUMERIC_KEY_PATTERN = r"(?i)OL([0-9]+)[A-Z]\z"
 SUBJECT_KEYS = ["subjects", "subject_places", "subject_people", "subject_times", "genres"]
 
 # Text limits, in characters.
-MAX_RECORD_KEY = 255
 MAX_LAST_MODIFIED = 64
-MAX_WIKIDATA_ID = 64
-MAX_SOURCE = 64
-MAX_SOURCE_KEY = 255
+TEXT_LIMITS = {"ol_key": 255, "last_modified": 64, "wd_id": 64, "source": 64, "source_key": 255}
 INTRO_LENGTH = 500
 MAX_SLUG_BASE = 220
 MAX_TSV_COLUMNS = 200
 FIRST_LINE_BYTES = 4096
-TYPE_SAMPLE_ROWS = 1000
 
 UNKNOWN_SOURCE = "unknown"
 STATUS_ACTIVE = 1

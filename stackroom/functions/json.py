@@ -32,6 +32,22 @@ def parse_once(df: DataFrame, text: str, out: str) -> DataFrame:
     return compute_once(df, out, parse(F.col(text)))
 
 
+def value_text(text: Column, value: Column) -> Column:
+    """``text`` without what follows its first JSON value, whose parsed form is ``value``.
+
+    The text of a value ends with its closing bracket.  Where something else may follow, the text up to
+    the last such bracket is taken if it is one value and nothing more, else the value's canonical text.
+    (A second value right behind a comma, closed by the same bracket, stays.)
+    """
+    closing = F.when(F.startswith(text, F.lit("{")), "}").otherwise("]")
+    more = ~F.endswith(text, closing) | text.rlike(r"[}\]]\s*[^\s,}\]]")
+    cut = F.substr(text, F.lit(1), F.length(text) + 1 - F.instr(F.reverse(text), closing))
+    # With a zero behind it, one value makes a list of two: brackets of its own would have closed it before.
+    held = F.try_parse_json(F.concat(F.lit("["), cut, F.lit(",0]")))
+    alone = F.size(F.try_variant_get(held, "$", "array<variant>")) == 2
+    return F.when(value.isNull() | ~more, text).when(alone, cut).otherwise(F.to_json(value))
+
+
 def compact(value: Column) -> Column:
     """Canonical JSON text: no spaces, sorted keys, non-ASCII kept."""
     return F.to_json(value)

@@ -19,9 +19,8 @@ def stripped_fields(line: Column) -> Column:
 
 
 def record_key(value: Column) -> Column:
-    """Top-level ``key`` if it is non-empty text."""
-    key = F.nullif(json.text_at(value, "key"), F.lit(""))
-    return F.left(key, F.lit(fixed.MAX_RECORD_KEY))
+    """Top-level ``key`` if it is non-empty text.  It is kept whole: rows are told apart by it."""
+    return F.nullif(json.text_at(value, "key"), F.lit(""))
 
 
 def revision(fields: Column) -> Column:
@@ -112,9 +111,9 @@ def split_sources(texts: Column) -> Column:
         clean,
         lambda p: F.struct(
             F.when(p[0] == "", fixed.UNKNOWN_SOURCE)
-            .otherwise(F.left(p[0], F.lit(fixed.MAX_SOURCE)))
+            .otherwise(p[0])
             .alias("source"),
-            F.left(p[1], F.lit(fixed.MAX_SOURCE_KEY)).alias("source_key"),
+            p[1].alias("source_key"),
         ),
     )
     return F.filter(pairs, lambda s: s["source_key"] != "")
@@ -128,3 +127,12 @@ def source_records(value: Column) -> Column:
 def array_text(items: Column) -> Column:
     """JSON text of an array, NULL when it is empty."""
     return F.when(F.size(items) > 0, F.to_json(items))
+
+
+def cut_to_limits(rows: DataFrame) -> DataFrame:
+    """``rows`` with texts cut to the lengths a target's columns take.
+
+    For output alone: what is cut no longer tells rows apart.
+    """
+    limits = {c: n for c, n in fixed.TEXT_LIMITS.items() if c in rows.columns}
+    return rows.withColumns({c: F.left(F.col(c), F.lit(n)) for c, n in limits.items()})

@@ -11,31 +11,6 @@ from stackroom import fixed_values as fixed
 from stackroom.functions.records import record_type
 
 
-_PLACE = ["source_file", "source_offset"]
-
-
-def sample_rows(df: DataFrame, order: Sequence[str], rows: int = fixed.TYPE_SAMPLE_ROWS) -> DataFrame:
-    """The first ``rows`` rows in ``order`` (a top-k per task, then one merge)."""
-    return df.orderBy(*order).limit(rows)
-
-
-def first_lines(staged: DataFrame, rows: int = fixed.TYPE_SAMPLE_ROWS) -> DataFrame:
-    """The first staged rows in (file, position) order.
-
-    ``sample_rows`` would read every record to find them.  Here only places are read to
-    find the last one wanted; the filter on it lets the scan skip the other records.
-    """
-    places = sample_rows(staged.select("source_file", "source_offset"), _PLACE, rows)
-    last = places.orderBy(*[F.desc(c) for c in _PLACE]).first()
-    if last is None:
-        return staged.limit(0)
-    file, offset = F.col("source_file"), F.col("source_offset")
-    return staged.filter(
-        (file < last["source_file"])
-        | ((file == last["source_file"]) & (offset <= last["source_offset"]))
-    )
-
-
 def type_histogram(records: DataFrame) -> DataFrame:
     """Records per type key, for records whose type is text."""
     typed = records.select(record_type(F.col("data")).alias("type_key"))

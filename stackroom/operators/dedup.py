@@ -126,7 +126,12 @@ def first_wins_backfill(
 def numbered_slugs(
     df: DataFrame, base: str, number: str, order: Sequence[str], out: str = "slug"
 ) -> DataFrame:
-    """Slugs told apart by number: ``s`` for the first, then ``s-<number>``, ``s-<number>-2``, …
+    """Unique slugs: ``s`` for the first row of a base, then ``s-<number>``, ``s-<number>-2``, …
+
+    Bases come first.  The other rows' proposals are held against all bases and each other; among equal
+    ones the first in order keeps its own.  What clashes ends as ``s--<number>-<n>``, n counting from 1 in
+    each (base, number).  Bases are slugs, without two hyphens in a row, so that no other row can have
+    that one, whatever numbers it ends in.
 
     A base shared by very many rows ("untitled") is never gathered: its first row is found
     by an aggregate, and the others are numbered per (base, number).
@@ -149,9 +154,17 @@ def numbered_slugs(
     owned = F.max("_owner").over(Window.partitionBy(base, number))
     numbered = marked.withColumn("_step", place + F.when(owned, 0).otherwise(1))
     base_text, number_text = F.col(base), F.col(number).cast("string")
-    slug = (
-        F.when(F.col("_step") == 1, base_text)
-        .when(F.col("_step") == 2, F.concat_ws("-", base_text, number_text))
-        .otherwise(F.concat_ws("-", base_text, number_text, (F.col("_step") - 1).cast("string")))
+    proposal = F.when(F.col("_step") == 2, F.concat_ws("-", base_text, number_text)).otherwise(
+        F.concat_ws("-", base_text, number_text, (F.col("_step") - 1).cast("string"))
     )
-    return numbered.withColumn(out, slug).drop("_owner", "_step")
+    owning = numbered.filter("_owner").withColumn(out, base_text)
+    proposed = numbered.filter("NOT _owner").withColumn(out, proposal)
+    # Proposals name their base and number, so equal ones are few.
+    among = F.row_number().over(Window.partitionBy(out).orderBy(*order, base, number))
+    taken = owners.select(F.col("_base").alias(out), F.lit(True).alias("_taken"))
+    held = proposed.withColumn("_among", among).join(taken, out, "left")
+    free = (F.col("_among") == 1) & F.col("_taken").isNull()
+    last = F.concat(base_text, F.lit("--"), number_text, F.lit("-"), (F.col("_step") - 1).cast("string"))
+    settled = held.withColumn(out, F.when(free, F.col(out)).otherwise(last))
+    columns = [*df.columns, out]
+    return owning.select(*columns).unionByName(settled.select(*columns))

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stackroom import fixed_values as fixed
 from stackroom.functions import json, records, tsv
 from stackroom.functions.text import strip
 
@@ -53,7 +52,7 @@ def json_records(lines: DataFrame) -> DataFrame:
         records.record_key(data).alias("ol_key"),
         records.revision(fields).alias("revision"),
         records.last_modified(fields).alias("last_modified"),
-        "data_json",
+        json.value_text(F.col("data_json"), data).alias("data_json"),
         "data",
         F.when(F.col("is_empty"), EMPTY_LINE)
         .when(F.col("data_json").isNull(), NO_JSON)
@@ -122,7 +121,7 @@ def wikidata(lines: DataFrame, lenient: bool = False) -> DataFrame:
         enough = F.col("fields").isNotNull() & (F.size("fields") >= 2)
     decoded = split.select(
         *_passing(lines),
-        F.left(strip(F.col("first")), F.lit(fixed.MAX_WIKIDATA_ID)).alias("line_id"),
+        strip(F.col("first")).alias("line_id"),
         "data_json",
         F.when(F.col("data_json").rlike(r"^[{\[]"), F.col("data_json")).alias("json_text"),
         enough.alias("enough"),
@@ -131,8 +130,8 @@ def wikidata(lines: DataFrame, lenient: bool = False) -> DataFrame:
     own_id = F.nullif(json.text_at(F.col("data"), "id"), F.lit(""))
     return decoded.select(
         *_passing(lines),
-        F.coalesce(F.left(own_id, F.lit(fixed.MAX_WIKIDATA_ID)), F.col("line_id")).alias("wd_id"),
-        "data_json",
+        F.coalesce(own_id, F.col("line_id")).alias("wd_id"),
+        json.value_text(F.col("data_json"), F.col("data")).alias("data_json"),
         "data",
         F.when(~F.col("enough"), FIELD_COUNT)
         .when(F.coalesce(F.col("data_json"), F.lit("")) == "", BLANK_JSON)

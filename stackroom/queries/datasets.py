@@ -53,13 +53,12 @@ def _typed(df, *columns, type_key):
 @query(
     """
 SELECT '/type/' || event_type AS type_key, count(*) AS records
-FROM (SELECT event_type FROM events ORDER BY event_id LIMIT 1000) GROUP BY event_type
+FROM events GROUP BY event_type
 """
 )
 def type_histogram(spark, sf_dir):
-    """Record types in the first thousand rows, which is what the operator looks at."""
-    sample = classify.sample_rows(table(spark, sf_dir, "events"), ["event_id"])
-    typed = _typed(sample, type_key=F.concat(F.lit("/type/"), F.col("event_type")))
+    """Record types of all rows."""
+    typed = _typed(table(spark, sf_dir, "events"), type_key=F.concat(F.lit("/type/"), F.col("event_type")))
     return classify.type_histogram(typed)
 
 

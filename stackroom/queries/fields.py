@@ -45,14 +45,14 @@ WITH s AS (
 @query(_SLUG + "SELECT doc_id, rtrim(left(base, 220), '-') || '-' || doc_id AS slug FROM s")
 def slugify_texts(spark, sf_dir):
     """Slugs of whole texts in four languages."""
-    return table(spark, sf_dir, "documents", "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", text.entity_slug(F.col("text"), F.col("doc_id")).alias("slug")
     )
 
 
 @query("SELECT doc_id, left(text, 500) AS introtext FROM documents")
 def intro_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents", "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", text.intro(F.col("text")).alias("introtext")
     )
 
@@ -144,7 +144,7 @@ FROM documents
 )
 def year_in_text(spark, sf_dir):
     """First year named in a whole text."""
-    return table(spark, sf_dir, "documents", "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", dates.year_or_date(F.col("text")).alias("date_text")
     )
 
@@ -179,7 +179,7 @@ def parse_datetime(spark, sf_dir):
             F.when(kind == "signup", value).alias("created_plain"),
         )
     )
-    parsed = table(spark, sf_dir, "events", "event_id").select("event_id", json.parse(body).alias("d"))
+    parsed = table(spark, sf_dir, "events").select("event_id", json.parse(body).alias("d"))
     created = records.record_datetime(F.col("d"), "created")
     modified = records.record_datetime(F.col("d"), "last_modified")
     return parsed.select(
@@ -238,7 +238,7 @@ def cover_ids(spark, sf_dir):
         F.lit(',"x",null,true,'), F.col("l_linenumber"),
         F.lit(","), F.col("l_orderkey"), F.lit("]}"),
     )
-    parsed = table(spark, sf_dir, "lineitem", "l_partkey").select(
+    parsed = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", json.parse(body).alias("d")
     )
     numbers = records.cover_ids(F.col("d"), "covers")
@@ -262,3 +262,38 @@ def numbered_slugs(spark, sf_dir):
     return dedup.numbered_slugs(parts, "base", "p_partkey", ["p_partkey"]).select(
         "p_partkey", "slug"
     )
+
+
+@query(
+    r"""
+WITH b AS (
+  SELECT p_partkey AS n, CASE WHEN p_partkey % 3 = 0 THEN 'item-' || (p_partkey + 1) ELSE 'item' END AS base FROM part
+), first AS (SELECT base, min(n) AS n FROM b GROUP BY base)
+SELECT b.n AS number, CASE WHEN f.n IS NOT NULL THEN b.base
+       WHEN EXISTS (SELECT 1 FROM b AS o WHERE o.base = b.base || '-' || b.n) THEN b.base || '--' || b.n || '-1'
+       ELSE b.base || '-' || b.n END AS slug
+FROM b LEFT JOIN first AS f USING (base, n)
+"""
+)
+def numbered_slugs_beside_bases(spark, sf_dir):
+    """Bases that end in other rows' numbers: every slug is still unique."""
+    number = F.col("p_partkey")
+    base = F.when(number % 3 == 0, F.concat(F.lit("item-"), number + 1)).otherwise("item")
+    rows = table(spark, sf_dir, "part").select(number.alias("number"), base.alias("base"))
+    return dedup.numbered_slugs(rows, "base", "number", ["number"]).select("number", "slug")
+
+
+@query(
+    r"""
+SELECT customer.c_custkey, length(k) AS whole, least(length(k), 255) AS cut
+FROM customer, (SELECT c_custkey, repeat('k', 250) || c_name AS k FROM customer) AS long
+WHERE long.c_custkey = customer.c_custkey
+"""
+)
+def length_limits(spark, sf_dir):
+    """Keys alike in their first 255 characters stay apart; an output cuts them."""
+    key = F.concat(F.repeat(F.lit("k"), 250), F.col("c_name"))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", key.alias("ol_key"))
+    kept = dedup.keep_first(rows, ["ol_key"], ["c_custkey"])
+    whole = kept.withColumn("whole", F.length("ol_key"))
+    return records.cut_to_limits(whole).select("c_custkey", "whole", F.length("ol_key").alias("cut"))

@@ -157,7 +157,7 @@ FROM tag WHERE slug IS NOT NULL GROUP BY slug
 )
 def document_word_counts(spark, sf_dir):
     """Every word of every document as a tag: many links, a few very popular tags."""
-    documents = table(spark, sf_dir, "documents", "doc_id")
+    documents = table(spark, sf_dir, "documents")
     recs = documents.select(
         F.lit("work").alias("kind"),
         F.col("doc_id").alias("ol_num"),
@@ -174,8 +174,8 @@ def document_word_counts(spark, sf_dir):
 
 _PAGE_SOURCES = """
 WITH pair AS (
-  SELECT page_id, left(trim(split_part(url, ':', 1)), 64) AS source,
-         left(trim(substr(url, instr(url, ':') + 1)), 255) AS source_key
+  SELECT page_id, trim(split_part(url, ':', 1)) AS source,
+         trim(substr(url, instr(url, ':') + 1)) AS source_key
   FROM pages WHERE instr(url, ':') > 0
 )
 """

@@ -474,3 +474,29 @@ def test_plan_and_stream_share_a_dataset(spark, folder, tmp_path):
     staging.stage_dataset(spark, files_of(spark, folder, dataset), root)
     assert [r.c1 for r in staged(spark, root, dataset, "tsv", 3)] == ["/works/OL1W", "x"]
     assert staging.read_rejects(spark, root, dataset).count() == 1
+
+
+def test_wide_rows_are_not_shuffled(spark, folder, tmp_path):
+    root = str(tmp_path / "root")
+    staging.stage_dataset(spark, files_of(spark, folder), root, hold_partial_line=False)
+    lines = spark.createDataFrame(
+        [("f", i, record("work", n).encode(), record("work", n)) for i, n in enumerate([2, 9, 9, 10])],
+        "source_file string, source_offset bigint, raw binary, line string",
+    )
+    staging.parse_raw(lines, lambda rows: staging.parse_lines(rows, "json")).write.parquet(f"{root}/parsed")
+    parsed = spark.read.parquet(f"{root}/parsed")
+    existing = staging.read_staged(spark, root, WORKS, "json")
+    repeated = staging.repeated_places(parsed, existing, "json")
+    repeated.write.parquet(f"{root}/repeated")
+    rows = staging.stage_rows(parsed, spark.read.parquet(f"{root}/repeated"))
+    assert sorted(r.ol_key for r in rows.collect()) == ["/works/OL10W", "/works/OL9W"]
+    # At any size of history: keys and places alone go through an exchange.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [repeated, staging.stage_rows(parsed, spark.read.parquet(f"{root}/repeated"))]
+        for plan in (df._jdf.queryExecution().executedPlan().toString() for df in plans):
+            exchanged = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+            assert not any("data" in line for line in exchanged)
+        assert "BroadcastExchange" in plan and "Exchange hashpartitioning" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
