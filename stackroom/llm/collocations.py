@@ -14,7 +14,7 @@ counted from there for exactly one round.  A false positive of the filter costs
 never a count.  A larger corpus wants more bits; with too few, more phrases are counted, with equal results.
 
 Counts are kept by 61-bit hashes of (language, words) and the number of words, up to 8; phrases that reached the threshold get their text
-in a last scan.  (With 10^6 frequent phrases among 10^9 counted ones, one of them shares its hash with another in
+in a last scan, in slices that double, so that later ones spell only what earlier ones lack.  (With 10^6 frequent phrases among 10^9 counted ones, one of them shares its hash with another in
 fewer than one of 10^3 corpora.)
 
 A phrase of 2 or more words is cut into two parts wherever it can be; a cut's score is its count a against
@@ -26,6 +26,7 @@ whatever they repeat, other columns are not read, and an empty table gives no ro
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -238,16 +239,17 @@ def _count_step(shard: DataFrame, now, ago, first_round: bool, settings: Setting
     return shard.mapInArrow(per_task, "key bigint, n bigint")
 
 
-def _spelled(corpus: DataFrame, reached, settings: Settings) -> DataFrame:
-    """key, lang, phrase, length of phrases the filter lets pass, and the words of each language.
+def _spelled(corpus: DataFrame, reached, wanted, settings: Settings) -> DataFrame:
+    """key, lang, phrase, length of phrases that the filter ``wanted`` lets pass, and the words of each language.
 
-    Once for each task; the rows that count words have the length 0.
+    Longer phrases are made of what ``reached`` lets pass.  Each phrase comes once for each task; the rows
+    that count words have the length 0.
     """
 
     names = ["key", "lang", "phrase", "length", "words"]
 
     def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(reached.value, np.uint8)
+        bits, needed = np.frombuffer(reached.value, np.uint8), np.frombuffer(wanted.value, np.uint8)
         seen, fresh = np.zeros(0, np.uint64), []
         hashes: dict[str, int] = {}
         for batch in batches:
@@ -267,7 +269,7 @@ def _spelled(corpus: DataFrame, reached, settings: Settings) -> DataFrame:
                 found = [(1, np.arange(len(codes)), words.first_keys())]
                 found += [level[:3] for level in _levels(words, bits, None, settings)]
                 for n, begins, keys in found:
-                    good = np.flatnonzero(_passes(bits, settings.filter_bits, keys))
+                    good = np.flatnonzero(_passes(needed, settings.filter_bits, keys))
                     if len(seen):
                         at = np.minimum(np.searchsorted(seen, keys[good]), len(seen) - 1)
                         good = good[seen[at] != keys[good]]
@@ -330,19 +332,28 @@ def _filter_bytes(counts: DataFrame, least: int, width: int, longest: int, befor
     return whole.tobytes()
 
 
-def _write_shards(docs: DataFrame, text: str, lang: str, shards: int) -> str:
+def _write_shards(docs: DataFrame, text: str, lang: str, shards: int) -> tuple[str, int]:
+    """The folder of the corpus in shards, and in how many slices each is.
+
+    The first slices are small, each later one is as large as all before it: 1, 1, 2, 4, ... parts.  The
+    first holds about as much as eight of the partitions read.
+    """
     folder = scratch_dir(docs.sparkSession, "shards")
+    doublings = max(0, math.ceil(math.log2(max(1, docs.rdd.getNumPartitions()) / 8)))
+    dealt = F.xxhash64(F.monotonically_increasing_id())
+    part = F.pmod(F.shiftright(dealt, 32), F.lit(1 << doublings))
     rows = docs.select(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(UNKNOWN)).alias("lang"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
-        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)).cast("int").alias("shard"),
+        F.pmod(dealt, F.lit(shards)).cast("int").alias("shard"),
+        F.when(part == 0, 0).otherwise(F.floor(F.log2(part.cast("double"))) + 1).cast("int").alias("slice"),
     )
-    rows.write.partitionBy("shard").parquet(folder)
-    return folder
+    rows.write.partitionBy("shard", "slice").parquet(folder)
+    return folder, doublings + 1
 
 
 def _read_shards(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema("lang string, text string, shard int").parquet(folder)
+    return spark.read.schema("lang string, text string, shard int, slice int").parquet(folder)
 
 
 def frequent_phrases(
@@ -351,7 +362,7 @@ def frequent_phrases(
     """lang, phrase, length in words, n: every phrase counted ``least`` times or more, and with length 0
     and a null phrase the number of words of each language."""
     spark = docs.sparkSession
-    folder = _write_shards(docs, text, lang, settings.shards)
+    folder, slices = _write_shards(docs, text, lang, settings.shards)
     corpus = _read_shards(spark, folder)
     filters: list[bytes | None] = [None]  # what each step begins with
     sent: list = [None]
@@ -386,8 +397,17 @@ def frequent_phrases(
         sent.append(spark.sparkContext.broadcast(filters[step]))
     reached = _filter_bytes(counts, settings.least, settings.filter_bits, settings.most, sent[-1])
     sent.append(spark.sparkContext.broadcast(reached))
-    spelled = _spelled(corpus.select("lang", "text"), sent[-1], settings)
-    spelled = stored(spelled, "phrase-texts")
+    wanted, spelled = sent[-1], None
+    # What a slice has spelled the next ones need not: a phrase comes from a few tasks, not from all.
+    for part in range(slices):
+        here = corpus.filter(F.col("slice") == part).select("lang", "text")
+        found = stored(_spelled(here, sent[step + 1], wanted, settings), "phrase-texts")
+        spelled = found if spelled is None else spelled.unionByName(found)
+        if part + 1 < slices:
+            left = counts.join(spelled.filter(F.col("length") > 0).select("key").distinct(), "key", "left_anti")
+            bits = _filter_bytes(left, settings.least, settings.filter_bits, settings.most, None)
+            wanted = spark.sparkContext.broadcast(bits)
+            sent.append(wanted)
     texts = spelled.filter(F.col("length") > 0).groupBy("key").agg(
         F.first(F.struct("lang", "phrase", "length")).alias("t")
     )
@@ -447,7 +467,9 @@ def scored(frequent: DataFrame, kept: int | None = 2000) -> DataFrame:
     # One order over all languages: a large one is not sorted by one task.
     order = [F.col("lang"), F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     ranked = placed(best, order, "_place")
-    first = ranked.groupBy("lang").agg(F.min("_place").alias("_first")).join(totals, "lang")
+    first = stored(ranked.groupBy("lang").agg(F.min("_place").alias("_first")).join(totals, "lang"), "langs")
+    # One row for each language; a table with more of them than that has them joined.
+    first = F.broadcast(first) if first.count() <= 100_000 else first
     ranked = ranked.join(first, "lang").withColumn("rank", F.col("_place") - F.col("_first") + 1)
     if kept is not None:
         ranked = ranked.filter(F.col("rank") <= kept)

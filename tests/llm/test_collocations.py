@@ -57,14 +57,14 @@ def made_rows(seed):
     return rows
 
 
-@pytest.mark.parametrize(("seed", "settings"), [
-    (1, Settings(most=4, least=3, shards=2, filter_bits=20)),
-    (2, Settings(most=3, least=5, shards=3, filter_bits=9)),  # a filter that lets almost all pass
+@pytest.mark.parametrize(("seed", "settings", "parts"), [
+    (1, Settings(most=4, least=3, shards=2, filter_bits=20), 20),  # more than one slice
+    (2, Settings(most=3, least=5, shards=3, filter_bits=9), 3),  # a filter that lets almost all pass
 ])
-def test_equals_counting_everything(spark, seed, settings, monkeypatch):
+def test_equals_counting_everything(spark, seed, settings, parts, monkeypatch):
     monkeypatch.setattr(collocations, "LOT", 300)
     rows = made_rows(seed)
-    docs = spark.createDataFrame([(*row, "clash", 1, 2, 3) for row in rows], SCHEMA).repartition(3)
+    docs = spark.createDataFrame([(*row, "clash", 1, 2, 3) for row in rows], SCHEMA).repartition(parts)
     got = scored(frequent_phrases(docs, settings), 7).collect()
     assert {tuple(r) for r in got} == brute(rows, settings.least, settings.most, 7) and len(got) > 20
     assert got[0].asDict().keys() == {"lang", "rank", "phrase", "a", "l", "r", "n", "score"}
