@@ -100,11 +100,11 @@ def test_dataset_name(spark):
     assert got == list(cases.values())
 
 
-def test_count_columns(tmp_path):
+def test_count_columns(spark, tmp_path):
     def columns(data):
         path = tmp_path / "f.txt"
         path.write_bytes(data)
-        return files.count_columns(str(path))
+        return files.count_columns(spark, str(path))
 
     assert columns(b"a\tb\tc\r\nx") == 3
     assert columns(b"a") == 1
@@ -121,8 +121,8 @@ def test_list_files_recursive(tmp_path):
     assert list_files(str(tmp_path), recursive=True) == [(str(tmp_path / "p=1" / "a"), 2)]
 
 
-def test_count_columns_of_a_long_line(tmp_path):
+def test_count_columns_of_a_long_line(spark, tmp_path):
     path = tmp_path / "long.txt"
     for size in (4095, 4096, 5000):
         path.write_bytes(b"\t".join([b"x" * size] * 6) + b"\r\ny\tz\n")
-        assert files.count_columns(str(path)) == 6
+        assert files.count_columns(spark, str(path)) == 6
