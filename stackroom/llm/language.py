@@ -103,7 +103,8 @@ class Parser:
     """The automata of all languages, by name."""
 
     def __init__(self, learned: dict[str, bytes]):
-        self.names = sorted(learned)
+        # A language nothing was learned of would need no bits, and win every text.
+        self.names = sorted(name for name, text in learned.items() if text.strip())
         seen = sorted(set(b"".join(learned.values())))
         self.symbols = np.zeros(256, np.uint8)
         self.symbols[seen] = np.arange(1, len(seen) + 1)

@@ -77,7 +77,9 @@ def op2_language_id(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     learned = language.learn(documents, learned_from("doc_id"))
     found = language.identify(documents.select("doc_id", "text"), learned)
-    return found.select("doc_id", (~learned_from("doc_id")).alias("held_out"), "lang_pred", "score")
+    # A row without an id is not learned from.
+    held_out = F.coalesce(~learned_from("doc_id"), F.lit(True))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
 def chat_records(rows: DataFrame) -> DataFrame:

@@ -46,3 +46,22 @@ def test_accuracy(spark, sf_dir):
     found = L.identify(rows.filter(out), L.learn(rows, ~out))
     right = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
     assert right >= 0.95
+
+
+def test_languages_nothing_was_learned_of():
+    from stackroom.llm.language import Parser
+
+    parser = Parser({"aa": b"", "bb": b"hello world and more", "cc": b" "})
+    names, scores = parser.predict(["hello world", None, "123"])
+    assert names == ["bb", "und", "und"] and all(0 <= s <= 1 for s in scores)
+    assert Parser({"aa": b""}).predict(["hello"])[0] == ["und"]
+
+
+def test_held_out_of_a_null_id(spark, tmp_path):
+    from stackroom.llm.queries import QUERIES
+
+    rows = [(None, "some plain words here", "en")] + [(i, "some plain words here", "en") for i in range(9)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op2_language_id"](spark, str(tmp_path)).collect()
+    assert len(got) == 10 and all(isinstance(r.held_out, bool) and 0 <= r.score <= 1 for r in got)
+    assert [r.held_out for r in got if r.doc_id is None] == [True]
