@@ -171,3 +171,27 @@ def test_union_and_target_columns(spark):
         ("a", 1, "x"), ("b", 2, None),
     ]
     assert for_target(rows, ["n", "birth_date", "dataset"]).columns == ["n", "dataset"]
+
+
+def test_a_hot_slug_is_joined_where_its_pairs_are(spark):
+    from statistics import median
+
+    slug = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), (F.col("id") % 4001).cast("string")))
+    pairs = spark.range(24000).select(F.lit("work").alias("kind"), F.col("id").alias("entity_id"), slug.alias("slug"))
+    known = pairs.select("kind", "slug").distinct().withColumn("tag_id", F.xxhash64("slug"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        links = tags.links_to_known_tags(pairs, known)
+        assert links.distinct().count() == 24000
+        for hot in (True, False):
+            own = links.filter((F.col("tag_id") == known.filter("slug = 'hot'").first().tag_id) == F.lit(hot))
+            sizes = [r["count"] for r in own.groupBy(F.spark_partition_id()).count().collect()]
+            assert len(sizes) >= 4 and max(sizes) <= 2 * median(sizes)
+        assert tags.links_to_known_tags(pairs.limit(0), known).count() == 0
+        assert tags.links_to_known_tags(pairs, known.limit(0)).count() == 0
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
