@@ -95,6 +95,48 @@ def not_in(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame
     return df.join(known, list(keys), "left_anti")
 
 
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Whether columns agree pair by pair; NULL agrees with NULL."""
+    equal = F.lit(True)
+    for one, other in zip(left, right, strict=True):
+        equal = equal & F.col(one).eqNullSafe(F.col(other))
+    return equal
+
+
+def _first_places(df: DataFrame, keys: Sequence[str], order: Sequence[str], named: Column) -> DataFrame:
+    """Keys of several rows (as ``_key_…``), with the places of their first and first named row.
+
+    Aggregates hold numbers only, so that Spark hashes and never sorts rows for them.  Where a
+    place also names a file, each input partition hands on one row per key and file.
+    """
+    *files, number = order
+    rows = df.select(*keys, *order, named.alias("_is_named"))
+    named_number = F.min(F.when(F.col("_is_named"), F.col(number)))
+    count = F.count(F.lit(1)).alias("_rows")
+    own = [F.col(k).alias(f"_key_{k}") for k in keys]
+    if not files:
+        places = rows.groupBy(*keys).agg(count, F.min(number).alias("_number"), named_number.alias("_named"))
+        return places.filter("_rows > 1").select(
+            *own,
+            F.struct(F.col("_number").alias(number)).alias("_first"),
+            F.when(F.col("_named").isNotNull(), F.struct(F.col("_named").alias(number))).alias("_named"),
+        )
+    repeated = rows.groupBy(*keys).agg(count).filter("_rows > 1").select(*own)
+    of_repeated = rows.join(repeated, _same(keys, [f"_key_{k}" for k in keys]), "left_semi")
+    by_file = of_repeated.groupBy(*keys, *files).agg(
+        F.min(number).alias("_number"), named_number.alias("_named")
+    )
+    window = Window.partitionBy(*keys).orderBy(*files)
+    whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    has_named = F.when(F.col("_named").isNotNull(), F.struct(*files, F.col("_named").alias(number)))
+    return (
+        by_file.withColumn("_file", F.row_number().over(window))
+        .withColumn("_named", F.first(has_named, True).over(whole))
+        .filter("_file = 1")
+        .select(*own, F.struct(*files, F.col("_number").alias(number)).alias("_first"), "_named")
+    )
+
+
 def first_wins_backfill(
     df: DataFrame,
     keys: Sequence[str],
@@ -104,23 +146,37 @@ def first_wins_backfill(
 ) -> DataFrame:
     """Attributes of the first row per key; a blank name comes from the first row with one.
 
-    The row that supplies the name also supplies ``touched``.  One aggregate does both.
+    The row that supplies the name also supplies ``touched``.  ``order`` must tell a key's rows apart;
+    its last column is a number.  NULL keys are one key.
+
+    Best on rows read from a table, as ``df`` is read more than once: keys and places tell which
+    rows win, and only then are whole rows met.  Rows whose key is theirs alone are never sorted, and not
+    shuffled either when the repeated keys are few enough for Spark to broadcast.
     """
-    place = F.struct(*order)
-    has_name = blank_to_null(F.col(name)).isNotNull()
-    rest = [c for c in df.columns if c not in keys]
-    grouped = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*rest), place).alias("first"),
-        F.min_by(F.struct(name, touched), F.when(has_name, place)).alias("named"),
+    named = blank_to_null(F.col(name)).isNotNull()
+    places = _first_places(df, keys, order, named)
+    on_key = _same(keys, [f"_key_{k}" for k in keys])
+    here = F.struct(*order)
+    firsts = df.join(places.drop("_named"), on_key, "left").filter(
+        F.col("_first").isNull() | here.eqNullSafe(F.col("_first"))
     )
-    filled = blank_to_null(F.col(f"first.{name}")).isNull() & F.col("named").isNotNull()
-    taken = {c: F.when(filled, F.col(f"named.{c}")).otherwise(F.col(f"first.{c}")) for c in (name, touched)}
-    return grouped.select(
-        *[
-            (F.col(c) if c in keys else taken.get(c, F.col(f"first.{c}"))).alias(c)
-            for c in df.columns
-        ]
+    # A first named row that is another than the first one means that that one's name is blank.
+    later = places.filter(F.col("_named").isNotNull() & ~F.col("_named").eqNullSafe(F.col("_first")))
+    supplied = (
+        df.select(*keys, *order, name, touched)
+        .join(later, on_key & here.eqNullSafe(F.col("_named")))
+        .select(
+            *[F.col(k).alias(f"_for_{k}") for k in keys],
+            F.struct(F.col(name).alias("name"), F.col(touched).alias("touched")).alias("_supplied"),
+        )
     )
+    joined = firsts.select(*df.columns).join(supplied, _same(keys, [f"_for_{k}" for k in keys]), "left")
+    filled = F.col("_supplied").isNotNull()
+    taken = {
+        name: F.when(filled, F.col("_supplied.name")).otherwise(F.col(name)),
+        touched: F.when(filled, F.col("_supplied.touched")).otherwise(F.col(touched)),
+    }
+    return joined.select(*[taken.get(c, F.col(c)).alias(c) for c in df.columns])
 
 
 def numbered_slugs(

@@ -109,6 +109,7 @@ def build_entities(
 ) -> DataFrame:
     """One row per (kind, ol_num): first record wins, blank names are filled in.
 
+    ``recs`` is best a table that may well be read again (see ``first_wins_backfill``).
     ``as_of`` stands in for missing dates; without it they stay NULL.
     """
     columns = recs.select(
@@ -140,12 +141,24 @@ def build_entities(
 def merge_entities(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """Existing rows win; an incoming row adds its entity or fills a blank name.
 
-    Both sides are outputs of ``build_entities``.
+    Both sides are outputs of ``build_entities``, with one row per entity, so one join does both.
     """
-    rows = existing.withColumn("_age", F.lit(0)).unionByName(
-        incoming.withColumn("_age", F.lit(1))
+    theirs = incoming.select(*[F.col(c).alias(f"_new_{c}") for c in existing.columns])
+    on = F.lit(True)
+    for key in ENTITY_KEYS:
+        on = on & (F.col(key) == F.col(f"_new_{key}"))
+    joined = existing.join(theirs, on, "full")
+    is_new = F.col(ENTITY_KEYS[0]).isNull()
+    named = blank_to_null(F.col("_new_name")).isNotNull()
+    fills = blank_to_null(F.col("name")).isNull() & named
+    return joined.select(
+        *[
+            F.when(is_new | fills if c in ("name", "updated_at") else is_new, F.col(f"_new_{c}"))
+            .otherwise(F.col(c))
+            .alias(c)
+            for c in existing.columns
+        ]
     )
-    return first_wins_backfill(rows, ENTITY_KEYS, ["_age"]).drop("_age")
 
 
 def new_entities(existing: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from stackroom.operators import dedup, sources, tags
+from stackroom.operators import dedup, entities, sources, tags
 from stackroom.operators.covers import new_covers
 from stackroom.operators.entities import for_target, union_datasets
 
@@ -80,6 +80,61 @@ def test_first_wins_backfill(spark):
         assert sorted(map(tuple, got)) == [(7, 1, "B", "t2", "x"), (8, 4, " ", "t4", "w")]
 
 
+def brute_force_backfill(rows):
+    """Rows are (key, file, offset, name, touched, other)."""
+    result = {}
+    for key in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1] is not None, r[1] or "", r[2]))
+        named = [r for r in mine if (r[3] or "").strip()]
+        first = list(mine[0])
+        if named and not (first[3] or "").strip():
+            first[3:5] = named[0][3:5]
+        result[key] = tuple(first)
+    return result
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_first_wins_over_files_like_brute_force(spark, broadcast):
+    rng = random.Random(11)
+    rows = []
+    for n in range(600):
+        # One key holds a third of the rows; some are NULL, some are alone; names are often blank.
+        key = 7 if n % 3 == 0 else None if n % 17 == 0 else rng.randint(100, 400)
+        rows.append((key, rng.choice(["a", "b", None, "é"]), n, rng.choice([None, "", " ", "N%d" % n]), "t%d" % n, n))
+    schema = "key int, file string, at bigint, name string, updated_at string, other int"
+    df = spark.createDataFrame(rows, schema).repartition(5)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        got = dedup.first_wins_backfill(df, ["key"], ["file", "at"]).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(got) == len({r[0] for r in rows})
+    assert {r.key: tuple(r) for r in got} == brute_force_backfill(rows)
+    assert dedup.first_wins_backfill(df.limit(0), ["key"], ["file", "at"]).count() == 0
+
+
+@pytest.mark.parametrize("name", ["first_wins_backfill", "work_entities", "author_entities", "merged_entities"])
+def test_first_wins_holds_numbers_only(spark, sf_dir, name):
+    from stackroom.queries import QUERIES
+
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_merge_entities(spark):
+    schema = "kind string, ol_num int, name string, updated_at string, other string"
+    old = spark.createDataFrame([("work", 1, " ", "a", "x"), ("work", 2, "B", "b", "x"), ("work", 3, None, "c", "x")], schema)
+    new = spark.createDataFrame(
+        [("work", 1, "N", "d", "y"), ("work", 2, "M", "e", "y"), ("work", 3, "", "f", "y"), ("author", 1, None, "g", "y")],
+        schema,
+    )
+    assert sorted(map(tuple, entities.merge_entities(old, new).collect())) == [
+        ("author", 1, None, "g", "y"), ("work", 1, "N", "d", "x"), ("work", 2, "B", "b", "x"), ("work", 3, None, "c", "x"),
+    ]
+    assert entities.merge_entities(old.limit(0), new).count() == 4
+
+
 def brute_force_slugs(rows):
     """First of a base takes it; then base-number, base-number-2, ..."""
     seen, result = defaultdict(int), {}
