@@ -59,7 +59,7 @@ def test_like_brute_force(spark):
     assert {r["doc_id"] for r in D.clean(rows, bench).collect()} == set(marked) - set(got)
 
 
-@pytest.mark.parametrize("bench", [[], [(None, "a b c d e f g h i"), (1, None), (2, ""), (3, "a b c")]])
+@pytest.mark.parametrize("bench", [[], [(None, None), (1, None), (2, ""), (3, "a b c")]])
 def test_nothing_to_look_for(spark, bench):
     rows = spark.createDataFrame([(1, "a b c d e f g h i"), (2, None), (3, ""), (3, "")], "doc_id long, text string")
     items = spark.createDataFrame(bench, "item_id long, text string")
@@ -67,6 +67,46 @@ def test_nothing_to_look_for(spark, bench):
     assert D.clean(rows.limit(0), items).count() == 0
 
 
+@pytest.mark.parametrize("width", range(D.LEAST, D.WINDOW))
+def test_masks_hit_short_items(width):
+    masks = [_offsets(m) for m in (*D.MASKS, D.SHORT_MASK)]
+    for gone in itertools.combinations(range(width), D.SUBSTITUTIONS * width // D.WINDOW):
+        assert any(
+            not any(start + o in gone for o in mask)
+            for mask in masks for start in range(width - mask[-1])
+        )
+
+
+ITEM = " ".join(f"i{n}" for n in range(15))
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    rows = [(None, ITEM), (None, "clean one"), (7, f"x {ITEM} y"), (7, "clean two"), (7, "clean two"), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(None, ITEM), (None, ITEM), (4, "z " + ITEM)], "item_id long, text string")
+    kept = sorted(map(tuple, D.clean(docs, items).collect()), key=repr)
+    assert kept == sorted([r for r in rows if ITEM not in (r[1] or "")], key=repr)
+    marked = sorted((r.doc_id, r.contaminated, r.n_items, r.item_id, r.tokens) for r in D.marked(docs, items)
+                    .filter("doc_id is not null").collect() if r.contaminated)
+    assert marked == [(7, True, 2, 4, 16)]  # the item of 16 tokens agrees in all but its first
+
+
+@pytest.mark.parametrize("tokens", [10, 500_000])
+def test_blocks_clashing_names_and_long_texts(spark, monkeypatch, tokens):
+    """Whatever the number of blocks, also where all items share an id."""
+    monkeypatch.setattr(D, "BLOCK_TOKENS", tokens)
+    items = [(1, " ".join(f"b{k}x{n}" for n in range(14))) for k in range(6)]
+    long = "word " * 400_000
+    rows = [(k, f"{long if k == 2 else 'a b'} {text} c", 0.5, "s") for k, (_, text) in enumerate(items)]
+    rows += [(9, long, 1.0, "t"), (10, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _bad double, `key.item` string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = D.clean(docs, bench)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect())) == sorted(rows[-2:])
+    assert [r.n_items for r in D.marked(docs, bench).orderBy("doc_id").collect()] == [1] * 6 + [0, 0]
+
+
 def test_capitals_and_repeated_rows(spark):
     text = "éa be ce de ee ef ge ha ie ja"
     rows = spark.createDataFrame([(1, f"X {text.upper()}!! y"), (1, f"x {text}"), (None, text)], "doc_id long, text string")
