@@ -13,6 +13,8 @@ All but the last return the columns of ``documents``.  Every stage's rows are wr
 ``spark.checkpoint.dir`` and read again.  Empty tables pass through; the operators' docstrings say
 what happens to null and empty texts.  The third stage compares rows, whatever their doc_id: rows that
 share one, or have none, go only if their texts link them; a row without a doc_id comes last in its group.
+The fourth one judges every row by its own text.  Further columns may have any name, also that of a column that
+an operator adds: stages work on renamed columns.
 """
 
 from __future__ import annotations
@@ -28,33 +30,48 @@ from stackroom.llm.store import stored
 PLAIN = 0.5
 
 
+def _named_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with names that no operator's own columns have."""
+    return docs.toDF(*[f"document_{c}" for c in docs.columns])
+
+
+def _as_before(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(f"`document_{c}`").alias(c) for c in docs.columns])
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    judged = quality.classify(docs, table(spark, sf_dir, "labels"))
-    return judged.filter("accepted").select(*[F.col(f"`{c}`") for c in docs.columns])
+    judged = quality.classify(
+        _named_apart(docs), table(spark, sf_dir, "labels"), key="document_doc_id", text="document_text"
+    )
+    return _as_before(judged.filter("accepted"), docs)
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    learned = language.learn(docs, learned_from("doc_id"))
-    found = language.identify(docs, learned)
-    other = F.coalesce(F.col("lang_pred") != F.col("lang"), F.lit(False)) & (F.col("score") >= PLAIN)
-    kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & ~other)
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, text, lang = _named_apart(docs), "document_text", "document_lang"
+    learned = language.learn(rows, learned_from("document_doc_id"), "document_doc_id", text, lang)
+    found = language.identify(rows, learned, text)
+    other = F.coalesce(F.col("lang_pred") != F.col(lang), F.lit(False)) & (F.col("score") >= PLAIN)
+    return _as_before(found.filter((F.col("lang_pred") != language.UNKNOWN) & ~other), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     # Rows are numbered for this stage, and written down, so that numbers stay.  The hash of one number
     # is a bijection; it spreads the low bits, which the join tells documents apart by.
-    numbered = stored(docs.withColumn("_row", F.xxhash64(F.monotonically_increasing_id())), "pipeline-rows")
-    groups = jaccard_join.near_duplicates(numbered.select("_row", "text"), key="_row")
+    rows = _named_apart(docs).withColumn("_row", F.xxhash64(F.monotonically_increasing_id()))
+    numbered = stored(rows, "pipeline-rows")
+    groups = jaccard_join.near_duplicates(
+        numbered.select("_row", F.col("document_text").alias("text")), key="_row"
+    )
     # Rows alone in their group stay; of the others the smallest id does, of equal ones the first row.
-    ids = numbered.select("_row", "doc_id").join(groups.select("_row", "component_id"), "_row")
+    doc_id = F.col("document_doc_id").alias("doc_id")
+    ids = numbered.select("_row", doc_id).join(groups.select("_row", "component_id"), "_row")
     first = ids.groupBy("component_id").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_row")
     )
-    return numbered.join(first, "_row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _as_before(numbered.join(first, "_row", "left_semi"), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
