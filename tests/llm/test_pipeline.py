@@ -29,3 +29,30 @@ def test_rows_that_share_an_id_or_have_none_are_compared(spark, sf_dir):
     kept = [tuple(r) for r in P.drop_near_duplicates(spark, docs, sf_dir).collect()]
     wanted = [(5, texts[0]), (5, texts[1]), (None, texts[2]), (9, texts[3]), (3, texts[4]), (None, None), (6, "")]
     assert sorted(kept, key=repr) == sorted(wanted, key=repr)
+
+
+def test_columns_of_any_name_and_shared_ids(spark, sf_dir):
+    """What stages decide does not depend on further columns, and these come through unchanged."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn(
+        "doc_id", F.when(F.col("doc_id") % 10 > 0, F.col("doc_id") - F.col("doc_id") % 2)
+    )
+    clashing = ["accepted", "prose", "clean", "score", "lang_pred", "_bad", "_row", "_text", "_scores", "_found", "key"]
+    more = docs.select("*", *[F.concat(F.lit(name), F.md5("text")).alias(name) for name in clashing])
+    for _, stage in P.STAGES[:-1]:
+        plain, kept = stage(spark, docs, sf_dir), stage(spark, more, sf_dir)
+        assert kept.columns == more.columns
+        assert sorted(map(tuple, kept.select(*docs.columns).collect()), key=repr) == sorted(
+            map(tuple, plain.collect()), key=repr
+        )
+        changed = F.lit(False)
+        for name in clashing:
+            changed = changed | ~F.col(name).eqNullSafe(F.concat(F.lit(name), F.md5("text")))
+        assert kept.filter(changed).count() == 0
+
+
+def test_contaminated_rows_go_alone(spark, sf_dir):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first()["text"]
+    rows = [(None, item), (None, "this one is clean"), (7, f"before {item} after"), (7, "so is this"), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, P.drop_contaminated(spark, docs, sf_dir).collect()), key=repr)
+    assert kept == sorted([rows[1], rows[3], rows[4]], key=repr)
