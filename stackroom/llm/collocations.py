@@ -340,13 +340,16 @@ def _write_shards(docs: DataFrame, text: str, lang: str, shards: int) -> tuple[s
     """
     folder = scratch_dir(docs.sparkSession, "shards")
     doublings = max(0, math.ceil(math.log2(max(1, docs.rdd.getNumPartitions()) / 8)))
-    dealt = F.xxhash64(F.monotonically_increasing_id())
-    part = F.pmod(F.shiftright(dealt, 32), F.lit(1 << doublings))
+    part = F.pmod(F.shiftright("dealt", 32), F.lit(1 << doublings))
+    # A row's number is a column first: used in two places, each counts the rows that come to it.
     rows = docs.select(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(UNKNOWN)).alias("lang"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
-        F.pmod(dealt, F.lit(shards)).cast("int").alias("shard"),
-        F.when(part == 0, 0).otherwise(F.floor(F.log2(part.cast("double"))) + 1).cast("int").alias("slice"),
+        F.xxhash64(F.monotonically_increasing_id()).alias("dealt"),
+    ).select(
+        "lang", "text",
+        F.pmod("dealt", F.lit(shards)).cast("int").alias("shard"),
+        F.when(part == 0, 0).otherwise(F.length(F.bin(part))).cast("int").alias("slice"),
     )
     rows.write.partitionBy("shard", "slice").parquet(folder)
     return folder, doublings + 1

@@ -70,6 +70,15 @@ def test_equals_counting_everything(spark, seed, settings, parts, monkeypatch):
     assert got[0].asDict().keys() == {"lang", "rank", "phrase", "a", "l", "r", "n", "score"}
 
 
+def test_every_row_is_in_one_of_the_slices(spark):
+    docs = spark.range(2000, numPartitions=40).selectExpr("'en' AS lang", "CAST(id AS string) AS text")
+    folder, slices = collocations._write_shards(docs, "text", "lang", 2)
+    counts = collocations._read_shards(spark, folder).groupBy("slice").count().collect()
+    sizes = {r["slice"]: r["count"] for r in counts}
+    assert sorted(sizes, key=str) == list(range(slices)) and sum(sizes.values()) == 2000
+    assert sizes[slices - 1] > 800  # the last one is as large as all before
+
+
 def test_empty_tables_and_long_texts(spark):
     settings = Settings(least=2, shards=2, filter_bits=12)
     empty = spark.createDataFrame([], SCHEMA)
