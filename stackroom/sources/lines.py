@@ -42,6 +42,7 @@ FORMAT = "positioned_lines"
 SCHEMA = "source_file string, source_offset bigint, value binary"
 SPLIT_BYTES = 128 * 1024 * 1024
 CHUNK_BYTES = 8 * 1024 * 1024
+MANY_TASKS = 256
 
 
 def _open_filesystem(path: str):
@@ -115,6 +116,32 @@ class LineSplit(InputPartition):
     hold: bool = False  # a last line without its end is left out
 
 
+@dataclass
+class LineTask(InputPartition):
+    """Splits that one task reads one after the other."""
+
+    splits: list[LineSplit]
+
+
+def packed(splits: list[LineSplit]) -> list[LineTask]:
+    """Splits dealt to ``MANY_TASKS`` tasks or so, in order; to more if a task had above ``SPLIT_BYTES`` then.
+
+    A task costs as much as reading some hundred kilobytes, so many small files or splits share one.  Splits
+    of unknown size have one each.
+    """
+    sizes = [s.end - s.start if s.end >= 0 else SPLIT_BYTES for s in splits]
+    most = min(SPLIT_BYTES, sum(sizes) // MANY_TASKS)
+    tasks: list[LineTask] = []
+    held = most
+    for split, size in zip(splits, sizes, strict=True):
+        if not tasks or held + size > most:
+            tasks.append(LineTask([]))
+            held = 0
+        tasks[-1].splits.append(split)
+        held += size
+    return tasks
+
+
 def plan_splits(
     path: str, start: int, size: int, split_bytes: int, stop: int = -1,
     members: list[list[int]] | None = None, hold: bool = False,
@@ -315,6 +342,12 @@ def read_split(split: LineSplit):
                 return
 
 
+def read_task(task: LineTask | None):
+    # No files match: Spark asks for one empty partition.
+    for split in task.splits if task is not None else ():
+        yield from read_split(split)
+
+
 class _Options:
     def __init__(self, options: dict):
         self.paths = json.loads(options["paths"])
@@ -337,18 +370,17 @@ class _BatchReader(DataSourceReader):
         marks, ends = self.options.marks, self.options.ends
         # With given ends nothing has to be listed, and later appends are not read.
         files = sorted(ends.items()) if ends else self.options.files()
-        return [
+        return packed([
             split
             for path, size in files
             for split in plan_splits(
                 path, marks.get(path, 0), size, self.options.split_bytes, ends.get(path, -1),
                 self.options.members.get(path),
             )
-        ]
+        ])
 
     def read(self, partition):
-        # No files match: Spark asks for one empty partition.
-        return read_split(partition) if partition is not None else iter(())
+        return read_task(partition)
 
 
 class _StreamReader(DataSourceStreamReader):
@@ -377,10 +409,10 @@ class _StreamReader(DataSourceStreamReader):
                     splits += plan_splits(path, 0, size, self.options.split_bytes, hold=self.options.hold_partial)
             elif size > done:
                 splits += plan_splits(path, done, size, self.options.split_bytes, stop=size)
-        return splits
+        return packed(splits)
 
     def read(self, partition):
-        return read_split(partition) if partition is not None else iter(())
+        return read_task(partition)
 
     def commit(self, end):
         pass

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from stackroom.sources import files
+from stackroom.sources import files, lines
 from stackroom.sources.lines import list_files, read_lines
 
 
@@ -126,3 +126,22 @@ def test_count_columns_of_a_long_line(spark, tmp_path):
     for size in (4095, 4096, 5000):
         path.write_bytes(b"\t".join([b"x" * size] * 6) + b"\r\ny\tz\n")
         assert files.count_columns(spark, str(path)) == 6
+
+
+def test_many_small_splits_share_tasks():
+    splits = [s for i in range(3000) for s in lines.plan_splits(f"/f{i}", 0, 300_000, 65536)]
+    tasks = lines.packed(splits)
+    assert [s for task in tasks for s in task.splits] == splits
+    assert lines.MANY_TASKS <= len(tasks) <= 2 * lines.MANY_TASKS
+    few = lines.plan_splits("/f", 0, 300_000, 65536)
+    assert [task.splits for task in lines.packed(few)] == [[s] for s in few]
+    assert lines.packed([]) == [] and list(lines.read_task(None)) == []
+
+
+def test_packed_splits_hold_every_line_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lines, "MANY_TASKS", 3)
+    for i in range(20):
+        (tmp_path / f"f{i}").write_text("".join(f"{i} {k}\n" for k in range(50)))
+    found = lines.read_lines(spark, str(tmp_path), 64)
+    assert found.rdd.getNumPartitions() <= 6
+    assert sorted(r.line for r in found.collect()) == sorted(f"{i} {k}" for i in range(20) for k in range(50))
