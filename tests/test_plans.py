@@ -500,3 +500,17 @@ def test_wide_rows_are_not_shuffled(spark, folder, tmp_path):
         assert "BroadcastExchange" in plan and "Exchange hashpartitioning" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_small_dump_is_parsed_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "LEAST_SPLIT", 1000)
+    folder, root = tmp_path / "split", str(tmp_path / "root")
+    folder.mkdir()
+    lines = [record("work", i + 1, title=f"T{i}") for i in range(400)]
+    (folder / f"{WORKS}.txt").write_text("\n".join(lines) + "\n")
+    parts = []
+    write_parsed = staging.write_parsed
+    monkeypatch.setattr(staging, "write_parsed", lambda parsed, *a: (parts.append(len(parsed.inputFiles())), write_parsed(parsed, *a)))
+    staging.stage_folder(spark, str(folder), root)
+    assert parts[0] >= spark.sparkContext.defaultParallelism
+    assert staging.read_staged(spark, root, WORKS, "json").count() == 400
