@@ -165,3 +165,12 @@ def test_type_histogram_ignores_odd_types(spark):
 
 def test_high_water_mark_of_nothing(spark):
     assert classify.high_water_mark(spark.createDataFrame([], "id bigint"), "id").first()[0] == 0
+
+
+def test_source_links_meet_their_records_by_hash(spark, sf_dir):
+    from stackroom.queries import QUERIES
+
+    found = QUERIES["work_source_links"](spark, sf_dir)
+    assert found.count() == found.distinct().count() > 0
+    plan = found._sc._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "simple")
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan and "from_json" not in plan
