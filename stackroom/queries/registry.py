@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stackroom.session import configure
+from stackroom.session import bound_tasks, configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -19,6 +19,7 @@ def query(sql: str | None = None):
     def register(function):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
+            bound_tasks(spark)
             return function(spark, sf_dir)
 
         QUERIES[function.__name__] = run
