@@ -105,8 +105,8 @@ def write_arcs(rows: DataFrame, key: str, url: str, body: str) -> DataFrame:
                     names=["name", "content"],
                 )
 
-    # Written down, so that names stay what they are.
-    return stored(narrow.mapInArrow(build, "name string, content binary"), "arcs")
+    # Written down, so that names stay what they are; packed well, as they hold every payload.
+    return stored(narrow.mapInArrow(build, "name string, content binary"), "arcs", compression="zstd")
 
 
 def _arc_records(name: str, content: bytes) -> Iterator[tuple[int, dict[bytes, bytes], bytes]]:

@@ -67,3 +67,16 @@ def test_batches_of_equal_keys(spark, tmp_path):
     assert archives.select("name").distinct().count() == archives.count() == 2
     warc = [r["value"] for r in arc_convert.to_warc(archives).collect()]
     assert len(warc) == 4 and sum("WARC-Type: response" in w for w in warc) == 1
+
+
+def test_archives_are_packed_well(spark):
+    import pyarrow.parquet as pq
+
+    words = [f"word{i * i % 997}" for i in range(3000)]
+    rows = spark.createDataFrame([(i, "http://a/", " ".join(words[i:])) for i in range(20)], "id long, url string, html string")
+    archives = arc_convert.write_arcs(rows, "id", "url", "html")
+    for path in archives.inputFiles():
+        groups = pq.ParquetFile(path.removeprefix("file:")).metadata
+        for i in range(groups.num_row_groups):
+            assert groups.row_group(i).column(1).compression == "ZSTD"
+    assert arc_convert.records(archives).count() == 20
