@@ -24,7 +24,7 @@ quality and highest toxicity count; without labels the other labellers decide, a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from operator import eq
 
 import numpy as np
@@ -245,16 +245,32 @@ def _votes(rows: DataFrame, lists: list[set[int]]) -> DataFrame:
     return rows.mapInArrow(vote, fields)
 
 
+class _Starts(dict):
+    """What a measure says of the features of words' starts, by their first five bytes."""
+
+    def __init__(self, measure: Callable[[int, int], object]):
+        self.measure = measure
+
+    def __missing__(self, start: bytes) -> object:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        value = self[start] = self.measure(_feature(b"4" + start[:4]), _feature(b"5" + start))
+        return value
+
+
 class _Marked(dict):
     """Whether a word has two marker features; one alone may be another word's with the same number."""
 
     def __init__(self, found: set[int]):
         self.features = found
+        self.starts = _Starts(lambda four, five: (four in found) + (five in found))
 
     def __missing__(self, word: bytes) -> bool:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        value = self[word] = sum(n in self.features for n in _FEATURES[word]) >= 2
+        # Most words' starts are no markers, and then the word itself need not be hashed.
+        count = self.starts[word[:5]]
+        value = self[word] = count == 2 or (count == 1 and _feature(b"w" + word) in self.features)
         return value
 
 
@@ -350,16 +366,20 @@ def classify(
 
 
 class _Worth(dict):
-    """What a word's features add to a score."""
+    """A word's features that have a weight."""
 
     def __init__(self, weights: np.ndarray):
-        self.weights = weights
-        self.seen: set[int] = set()
+        live = self.live = weights.any(axis=0).tobytes()
+        self.starts = _Starts(lambda *numbers: tuple(n for n in numbers if live[n]))
 
     def __missing__(self, word: bytes) -> tuple:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        value = self[word] = tuple(n for n in _FEATURES[word] if self.weights[:, n].any())
+        whole = _feature(b"w" + word)
+        value = self.starts[word[:5]]
+        if self.live[whole]:
+            value = (whole, *value)
+        self[word] = value
         return value
 
 

@@ -68,3 +68,18 @@ def test_empty_tables(spark):
     assert quality.classify(none, labels).count() == 0
     vectors = spark.createDataFrame([], "vec_id long, embedding array<double>")
     assert curve_search.neighbours(vectors, F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_words_are_judged_without_keeping_their_features():
+    rng = np.random.default_rng(1)
+    words = [b"w%d" % i for i in range(500)] + [b"longer%d" % (i % 9) + b"x" * i for i in range(200)] + [b"\xc3\xa9", b"a"]
+    numbers = {w: [quality._feature(b"w" + w), quality._feature(b"4" + w[:4]), quality._feature(b"5" + w[:5])] for w in words}
+    weights = np.zeros((2, (1 << quality.BITS) + 1))
+    found = {n for own in numbers.values() for n in own if rng.random() < 0.6}
+    weights[1, list(found)] = 0.5
+    quality._FEATURES.clear()
+    worth, marked = quality._Worth(weights), quality._Marked(found)
+    for word, own in numbers.items():
+        assert set(worth[word]) == found.intersection(own)
+        assert marked[word] == (sum(n in found for n in own) >= 2)
+    assert not quality._FEATURES
