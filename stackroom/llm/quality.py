@@ -43,7 +43,8 @@ BITS = 18
 EPOCHS = 4
 #: Weight below which a feature counts for nothing (an L1 penalty in training).
 PENALTY = 5.0
-CACHE_WORDS = 300_000
+#: Words whose features a task keeps, in each of its tables.
+CACHE_WORDS = 100_000
 #: Chance that a given label is right, before any is estimated.
 TRUST = 0.98
 
@@ -101,16 +102,15 @@ def features(words: set[bytes], found: tuple[float, ...]) -> np.ndarray:
     """Numbers of a text's features, each once."""
     numbers = {n for w in words for n in _FEATURES[w]}
     numbers.update(_feature(b"s%d:%d" % (i, int(20 * s))) for i, s in enumerate(found) if s >= 0)
-    return np.fromiter(numbers, np.int64, len(numbers))
+    return np.fromiter(numbers, np.int32, len(numbers))
 
 
-def markers(texts: list[set[bytes]], toxic: np.ndarray) -> set[int]:
-    """Features at least 30 times as frequent among abusive texts, in 2 % and eight of them or more."""
-    size = 1 << BITS
-    seen = np.zeros((2, size))
-    for words, bad in zip(texts, toxic, strict=True):
-        seen[int(bad), list({n for w in words for n in _FEATURES[w]})] += 1
-    bad, good = max(1, toxic.sum()), max(1, (1 - toxic).sum())
+def markers(seen: np.ndarray, texts: np.ndarray) -> set[int]:
+    """Features at least 30 times as frequent among abusive texts, in 2 % and eight of them or more.
+
+    ``seen`` counts the texts with each feature, clean ones and abusive ones, and ``texts`` all of them.
+    """
+    good, bad = np.maximum(1, texts)
     often = seen[1] / bad > 30 * (seen[0] + 0.5) / good
     return set(np.nonzero(often & (seen[1] >= max(8, 0.02 * bad)))[0].tolist())
 
@@ -203,16 +203,16 @@ def _marker_lists(sample: DataFrame) -> list[set[int]]:
     """Marker features of both halves of the sample, learned in one task."""
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        halves = [([], []), ([], [])]
+        seen, texts = np.zeros((2, 2, 1 << BITS)), np.zeros((2, 2), np.int64)
         for batch in batches:
             keys, toxic = values(batch, "key"), values(batch, "toxic")
             for key, bad, (_, _, distinct) in zip(keys, toxic, _texts(batch), strict=True):
                 if bad is not None:
-                    half = xxhash.xxh64_intdigest(str(key)) & 1
-                    halves[half][0].append(distinct)
-                    halves[half][1].append(bad)
-        for half, (texts, bad) in enumerate(halves):
-            found = sorted(markers(texts, np.array(bad, np.int64))) if texts else []
+                    half, bad = xxhash.xxh64_intdigest(str(key)) & 1, int(bad)
+                    seen[half, bad, list({n for w in distinct for n in _FEATURES[w]})] += 1
+                    texts[half, bad] += 1
+        for half in range(2):
+            found = sorted(markers(seen[half], texts[half]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([half] * len(found), pa.int32()), pa.array(found, pa.int64())],
                 names=["half", "feature"],

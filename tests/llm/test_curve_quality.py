@@ -83,3 +83,12 @@ def test_words_are_judged_without_keeping_their_features():
         assert set(worth[word]) == found.intersection(own)
         assert marked[word] == (sum(n in found for n in own) >= 2)
     assert not quality._FEATURES
+
+
+def test_marker_lists_count_texts():
+    seen, texts = np.zeros((2, 1 << quality.BITS)), np.array([900, 100])
+    seen[1, 5], seen[:, 6], seen[1, 7], seen[:, 8] = 40, (900, 100), 7, (1, 60)
+    assert quality.markers(seen, texts) == {5, 8}
+    assert quality.markers(0 * seen, 0 * texts) == set()
+    # What training holds of a document is four bytes for each feature.
+    assert quality.features({b"some", b"words"}, (0.1, 0.2, 0.3, -1.0)).dtype == np.int32
