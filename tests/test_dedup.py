@@ -250,3 +250,36 @@ def test_a_hot_slug_is_joined_where_its_pairs_are(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("few", [0, 50_000])
+def test_first_rows_of_many_repeated_keys(spark, monkeypatch, few):
+    monkeypatch.setattr(dedup, "FEW_KEYS", few)
+    rng, rows = random.Random(5), []
+    for n in range(500):
+        key = 7 if n % 3 == 0 else None if n % 17 == 0 else rng.randint(100, 300)
+        rows.append((key, rng.choice(["a", "b", None]), n, rng.choice([None, " ", "N%d" % n]), "t%d" % n, n))
+    df = spark.createDataFrame(rows, "key int, file string, at bigint, name string, updated_at string, other int")
+    df = df.repartition(5)
+    got = dedup.first_wins_backfill(df, ["key"], ["file", "at"])
+    assert {r.key: tuple(r) for r in got.collect()} == brute_force_backfill(rows)
+    assert got.count() == len({r[0] for r in rows})
+    kept = dedup.keep_first_wide(df, ["key"], ["at"])
+    firsts = {k: min(r[2] for r in rows if r[0] == k) for k in {r[0] for r in rows}}
+    assert sorted(r.at for r in kept.collect()) == sorted(r[2] for r in rows if r[0] is None or firsts[r[0]] == r[2])
+    # Rows that come twice, place and all, stay twice either way, and none is supplied by its own copy.
+    twice = spark.createDataFrame([(1, 1, "A", "t"), (1, 1, "A", "t"), (1, 2, "B", "u"), (2, 3, None, "v"), (2, 4, "C", "w")],
+                                  "key int, at bigint, name string, updated_at string")
+    assert sorted(map(tuple, dedup.first_wins_backfill(twice, ["key"], ["at"]).collect())) == [
+        (1, 1, "A", "t"), (1, 1, "A", "t"), (2, 3, "C", "w"),
+    ]
+    assert sorted(r.at for r in dedup.keep_first_wide(twice, ["key"], ["at"]).collect()) == [1, 1, 3]
+
+
+def test_rows_of_many_repeated_keys_are_reduced_before_the_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "FEW_KEYS", 0)
+    df = spark.createDataFrame(skewed_rows(1, 50), SCHEMA)
+    plan = dedup.keep_first_wide(df, ["key"], PLACE)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    below_shuffle = plan[plan.index("Exchange"):]
+    assert "WindowGroupLimit" in below_shuffle and "Partial" in below_shuffle
