@@ -274,6 +274,10 @@ def test_first_rows_of_many_repeated_keys(spark, monkeypatch, few):
         (1, 1, "A", "t"), (1, 1, "A", "t"), (2, 3, "C", "w"),
     ]
     assert sorted(r.at for r in dedup.keep_first_wide(twice, ["key"], ["at"]).collect()) == [1, 1, 3]
+    # A row without a number comes last in its file.
+    numberless = spark.createDataFrame([(1, "a", None, "A", "t"), (1, "a", 5, None, "u"), (1, "b", 1, "C", "w")],
+                                       "key int, file string, at bigint, name string, updated_at string")
+    assert list(map(tuple, dedup.first_wins_backfill(numberless, ["key"], ["file", "at"]).collect())) == [(1, "a", 5, "C", "w")]
 
 
 def test_rows_of_many_repeated_keys_are_reduced_before_the_shuffle(spark, monkeypatch):
