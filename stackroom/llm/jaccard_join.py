@@ -7,18 +7,20 @@ more.  The result is exact; no link between different texts is lost.
    a sketch of fixed size, and the sums of all tasks give each shingle a level, the logarithm of
    how often it occurs.  Shingles are ordered by level, then by hash: rare ones first.
 2. Of sets of sizes n that link, the first n - ceil(n * percent) + k in that order share k.
-   Those entries (shingle, class, size) meet in buckets of the hash, packed as arrays.  Buckets
-   give *lists*: the classes that share a first shingle, equal lists once.  With k a tenth of n, a class that
-   shares fewer of its first shingles with any others than its partners' k cannot link and is left out.
-3. The sets of classes in lists are taken from one text of each in another pass, in which a
-   bitmap of fixed size tells which texts to look at.
-4. First every list's classes are held against the list's smallest one.  Classes that link so are one
-   component.  Then all pairs of a list whose classes are in different components still are held
-   against each other.  So a group of thousands of near copies costs each member a few
-   comparisons, not one with every other.
-5. Comparisons are grouped by probe, in lots of bounded size.  A lot's sets, in the global order, make a
-   prefix tree; the probe walks it once, sets with a common beginning share the overlap
-   counted so far, and a subtree is left when even all that remains could not suffice.
+   Those entries (shingle, class, size) meet in buckets of the hash, packed as arrays.  The classes of a
+   *list* share a first shingle; a bucket hands on each with the list's smallest one, its head, once,
+   not the lists.  With k a tenth of n, a class that shares fewer of its first shingles with any others
+   than its partners' k cannot link and is left out.
+3. Classes connected by heads are a *piece*: links are within pieces.  A task takes the texts of one piece, and
+   links its classes by a prefix tree of their sets: first what links with one class, then what
+   links with those, and so on, always held against classes that nothing links yet.
+4. What a task holds and compares is bounded.  A larger piece is taken apart into the pieces of each head, which
+   hold all that share a list; a head's piece that is too large still is dealt into blocks,
+   the head in each.  Then all classes outside of the largest component so far are held against all blocks.
+   So no pairs of classes are written down or joined, only links that hold.
+5. The prefix tree holds sets in an order of its own, frequent elements first.  A probe walks it once; sets
+   with a common beginning share the overlap counted so far.  Another pass takes the texts of pieces
+   from one document of each class; a bitmap of fixed size tells which to look at.
 
 Defined results: a null or empty text has an empty set and links with nothing; a text of fewer words than a
 shingle has one shingle of all its words; texts are used whole; repeated documents are one class and
@@ -34,7 +36,7 @@ from itertools import groupby
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stackroom.llm.components import components
@@ -47,8 +49,10 @@ SKETCH_BITS = 20
 NEEDED_BITS = 26
 #: Shingle entries that a bucket holds on average.
 BUCKET_ENTRIES = 400_000
-#: Sets in a lot, which is one prefix tree.
-LOT = 256
+#: Shingles of the sets that a task holds at a time.
+HELD = 2_000_000
+#: Shingles times sets: what a task compares at most.
+COMPARED = 4_000_000_000
 WORDS = 5
 
 
@@ -139,8 +143,8 @@ def _levels(sketches: DataFrame) -> np.ndarray:
     return np.ceil(np.log2(counts.reshape(-1) + 1)).astype(np.uint8)
 
 
-def _lists(rows: DataFrame, levels, n: int, percent: int, buckets: int) -> DataFrame:
-    """(list, class, size): classes that share a first shingle; equal lists have one number."""
+def _heads(rows: DataFrame, levels, n: int, percent: int, buckets: int) -> DataFrame:
+    """(class, head, size, shared): classes, the smallest ones of their lists, and how many lists these are."""
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = levels.value
@@ -186,7 +190,7 @@ def _lists(rows: DataFrame, levels, n: int, percent: int, buckets: int) -> DataF
         if held:
             yield emit()
 
-    def lists(group: pd.DataFrame) -> pd.DataFrame:
+    def heads(group: pd.DataFrame) -> pd.DataFrame:
         hashes = np.concatenate([np.frombuffer(x, np.uint32) for x in group["hashes"]])
         names = np.concatenate([np.frombuffer(x, np.int64) for x in group["classes"]])
         sizes = np.concatenate([np.frombuffer(x, np.int32) for x in group["sizes"]])
@@ -196,44 +200,26 @@ def _lists(rows: DataFrame, levels, n: int, percent: int, buckets: int) -> DataF
         hashes, names, sizes = hashes[new], names[new], sizes[new]
         starts = np.nonzero(np.r_[True, hashes[1:] != hashes[:-1]])[0]
         lengths = np.diff(np.r_[starts, len(hashes)])
-        out: dict[bytes, list] = {}
-        for a, length in zip(starts[lengths > 1], lengths[lengths > 1], strict=True):
-            members = names[a : a + length]
-            digest = hashlib.blake2b(members.tobytes(), digest_size=8).digest()
-            if digest in out:
-                out[digest][2] += 1
-            else:
-                out[digest] = [members, sizes[a : a + length], 1]
-        if not out:
-            return pd.DataFrame({"list": [], "class": [], "size": [], "shared": []})
-        counts = [len(x[0]) for x in out.values()]
-        names = [int.from_bytes(digest, "little", signed=True) for digest in out]
-        return pd.DataFrame(
-            {"list": np.repeat(names, counts),
-             "class": np.concatenate([x[0] for x in out.values()]),
-             "size": np.concatenate([x[1] for x in out.values()]).astype(np.int64),
-             "shared": np.repeat([x[2] for x in out.values()], counts)}
+        inside = np.repeat(lengths > 1, lengths)
+        found = pd.DataFrame(
+            {"class": names[inside], "head": np.repeat(names[starts], lengths)[inside],
+             "size": sizes[inside].astype(np.int64)}
         )
+        return found.groupby(["class", "head", "size"]).size().reset_index(name="shared")
 
     packed = rows.mapInArrow(entries, "bucket long, hashes binary, classes binary, sizes binary")
-    fields = "list long, class long, size long, shared long"
-    found = packed.groupBy("bucket").applyInPandas(lists, fields)
-    return found.groupBy("list", "class", "size").agg(F.sum("shared").alias("shared"))
+    fields = "class long, head long, size long, shared long"
+    found = packed.groupBy("bucket").applyInPandas(heads, fields)
+    return found.groupBy("class", "head").agg(F.max("size").alias("size"), F.sum("shared").alias("shared"))
 
 
-def _that_may_link(lists: DataFrame, percent: int) -> DataFrame:
-    """``lists`` without classes that share too little, twice, and without lists of one class."""
-    for _ in range(2):
-        shared = lists.groupBy("class").agg(
-            F.sum("shared").alias("all_shared"), F.max("size").alias("n")
-        )
-        # A partner has at least ``percent`` of the size, and a tenth of that, and one, is its k.
-        least = F.floor(F.floor(F.col("n") * percent / 100) / 10) + 1
-        enough = shared.filter(F.col("all_shared") >= least).select("class")
-        kept = lists.join(enough, "class")
-        pairs = kept.groupBy("list").agg(F.count("*").alias("members")).filter("members > 1")
-        lists = stored(kept.join(pairs.select("list"), "list"), "shingle-lists")
-    return lists
+def _that_may_link(heads: DataFrame, percent: int) -> DataFrame:
+    """``heads`` without classes that share too little."""
+    shared = heads.groupBy("class").agg(F.sum("shared").alias("all_shared"), F.max("size").alias("n"))
+    # A partner has at least ``percent`` of the size, and a tenth of that, and one, is its k.
+    least = F.floor(F.floor(F.col("n") * percent / 100) / 10) + 1
+    enough = shared.filter(F.col("all_shared") >= least).select("class")
+    return heads.join(enough, "class").select("class", "head", "size")
 
 
 def _needed_bits(texts: DataFrame) -> np.ndarray:
@@ -253,20 +239,47 @@ def _needed_bits(texts: DataFrame) -> np.ndarray:
 
 
 class PrefixTree:
-    """Sets in a global order, paths without branches kept as stretches.
+    """Sets in a common order, frequent elements first, as one tree.
 
-    Sorted as sequences, sets with a common beginning stand side by side, so a node is a range of
-    them with the stretch of elements that they share.
+    Sorted as sequences, sets with a common beginning stand side by side.  Each one keeps the stretch
+    that it has not in common with the one before, and the anchor whose stretch it branches off.
     """
 
     def __init__(self, sets: list[np.ndarray]):
-        self.sets = sets
-        self.order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
-        # Elements that neighbours have in common at the start.
-        self.common = [
-            self._common(sets[a], sets[b])
-            for a, b in zip(self.order, self.order[1:], strict=False)
-        ]
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        bounds = np.r_[0, np.cumsum(self.sizes)]
+        self.words, numbers, counts = np.unique(
+            np.concatenate(sets), return_inverse=True, return_counts=True
+        )
+        self.rank = np.empty(len(counts), np.int32)
+        self.rank[np.argsort(-counts, kind="stable")] = np.arange(len(counts), dtype=np.int32)
+        ranked = self.rank[numbers]
+        paths = [np.sort(ranked[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        self.order = np.array(
+            sorted(range(len(sets)), key=lambda i: paths[i].astype(">u4").tobytes()), np.int64
+        )
+        paths = [paths[i] for i in self.order]
+        common = [0, *(self._common(a, b) for a, b in zip(paths, paths[1:], strict=False))]
+        self.elements = np.concatenate([p[c:] for p, c in zip(paths, common, strict=True)])
+        self.bounds = np.r_[0, np.cumsum([len(p) - c for p, c in zip(paths, common, strict=True)])]
+        self.seen = np.zeros(len(self.rank), bool)
+        # (sets, their anchors, where in the anchors' stretches they branch off), by depth of branches.
+        levels: list[tuple[list, list, list]] = []
+        depth, open_sets = np.zeros(len(paths), np.int64), []
+        for i, c in enumerate(common):
+            while open_sets and common[open_sets[-1]] >= c:
+                open_sets.pop()
+            if c:
+                anchor = open_sets[-1]
+                depth[i] = depth[anchor] + 1
+                if depth[i] > len(levels):
+                    levels.append(([], [], []))
+                for held, x in zip(
+                    levels[depth[i] - 1], (i, anchor, self.bounds[anchor] + c - common[anchor]), strict=True
+                ):
+                    held.append(x)
+            open_sets.append(i)
+        self.levels = [tuple(np.array(x, np.int64) for x in level) for level in levels]
 
     @staticmethod
     def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -274,73 +287,156 @@ class PrefixTree:
         differ = np.nonzero(a[:size] != b[:size])[0]
         return int(differ[0]) if len(differ) else size
 
-    def search(self, probe: np.ndarray, percent: int) -> list[int]:
-        """Numbers of the sets that link with ``probe`` (sorted by value)."""
-        found = []
-        stack = [(0, len(self.order), 0, 0)]  # a range of sets, depth and overlap above
-        while stack:
-            low, high, depth, overlap = stack.pop()
-            some = self.order[low:high]
-            sizes = [len(self.sets[i]) for i in some]
-            end = min([sizes[0], *self.common[low : high - 1]]) if high - low > 1 else sizes[0]
-            stretch = self.sets[some[0]][depth:end]
-            if len(stretch) and len(probe):
-                at = np.minimum(np.searchsorted(probe, stretch), len(probe) - 1)
-                overlap += int((probe[at] == stretch).sum())
-            # Even if all that remains below were shared, it must suffice for one of the sets.
-            if not any(
-                overlap + min(s - end, len(probe) - overlap) >= needed_overlap(len(probe), s, percent)
-                for s in set(sizes)
-            ):
-                continue
-            if high - low == 1:
-                found.append(some[0])  # the bound is exact where nothing remains
-                continue
-            start = low
-            for i in range(low, high):
-                last = i == high - 1
-                if last or self.common[i] <= end:
-                    if len(self.sets[self.order[i]]) == end and i == start:
-                        if overlap >= needed_overlap(len(probe), end, percent):
-                            found.append(self.order[i])
-                    else:
-                        stack.append((start, i + 1, end, overlap))
-                    start = i + 1
-        return found
-
-
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The (a, b) of ``pairs`` (probe, class) that link."""
+    def search(self, probe: np.ndarray, percent: int) -> np.ndarray:
+        """Numbers of the sets that link with ``probe``."""
+        at = np.minimum(np.searchsorted(self.words, probe), len(self.words) - 1)
+        shared = self.rank[at[self.words[at] == probe]]
+        self.seen[shared] = True
+        sums = np.r_[0, np.cumsum(self.seen[self.elements], dtype=np.int32)]
+        self.seen[shared] = False
+        above = np.zeros(len(self.order), np.int64)
+        for sets, anchors, cuts in self.levels:
+            above[sets] = above[anchors] + sums[cuts] - sums[self.bounds[anchors]]
+        overlap = above + sums[self.bounds[1:]] - sums[self.bounds[:-1]]
+        needed = needed_overlap(len(probe), self.sizes[self.order], percent)
+        return self.order[overlap >= needed]
+
+
+def connected(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between ``sets`` that connect all that is linked: no more than there are sets."""
+    links: list[tuple[int, int]] = []
+    alone = np.ones(len(sets), bool)
+    held = np.arange(len(sets))
+    tree = PrefixTree(sets)
+    left = len(sets)
+    for start in range(len(sets)):
+        if not alone[start]:
+            continue
+        alone[start] = False
+        left -= 1
+        linked = [start]
+        while linked and left:
+            probe = linked.pop()
+            if 2 * left < len(held):
+                held = np.flatnonzero(alone)
+                tree = PrefixTree([sets[i] for i in held])
+            found = held[tree.search(sets[probe], percent)]
+            found = found[alone[found]]
+            alone[found] = False
+            left -= len(found)
+            links += [(probe, i) for i in found.tolist()]
+            linked += found.tolist()
+    return links
+
+
+def _links(texts: DataFrame, pieces: DataFrame, n: int, percent: int) -> DataFrame:
+    """The links (a, b) that connect what is linked in each part of a piece.
+
+    Where ``probe`` is not null, only probes are held against the others, of components other than theirs.
+    """
+    names = ("piece", "part", "class", "probe", "component")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
-                names = ("probe", "lot", "class", "hashes")
-                yield from zip(*(values(batch, name) for name in names), strict=True)
-
-        for (probe, _), lot in groupby(rows(), key=lambda row: row[:2]):
-            found = {name: np.frombuffer(hashes, np.uint64) for _, _, name, hashes in lot}
-            own = found.pop(probe)
-            tree = PrefixTree(list(found.values()))
-            partners = list(found)
-            linked = [partners[i] for i in tree.search(np.sort(own), percent)]
+                yield from zip(
+                    *(values(batch, name) for name in names), shingle_sets(utf8(batch, "text"), n), strict=True
+                )
+
+        for _, part in groupby(rows(), key=lambda row: row[:2]):
+            held, probes = {}, {}
+            for _, _, name, probe, component, hashes in part:
+                (probes if probe else held)[name] = hashes, component
+            classes = list(held)
+            links = []
+            if not probes:
+                found = connected([hashes for hashes, _ in held.values()], percent)
+                links = [(classes[a], classes[b]) for a, b in found]
+            elif held:
+                tree = PrefixTree([hashes for hashes, _ in held.values()])
+                for name, (hashes, own) in probes.items():
+                    others = {held[classes[i]][1]: classes[i] for i in tree.search(hashes, percent)}
+                    links += [(name, other) for component, other in others.items() if component != own]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([probe] * len(linked), pa.int64()), pa.array(linked, pa.int64())],
+                [pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())],
                 names=["a", "b"],
             )
 
-    # The lots of a probe: as many as its partners need.
-    lots = pairs.groupBy("probe").agg(F.ceil(F.count("*") / LOT).alias("lots"))
-    dealt = pairs.join(lots, "probe").select(
-        "probe", F.pmod(F.xxhash64("class"), F.col("lots")).alias("lot"), "class"
+    dealt = texts.join(pieces, "class").repartition("piece", "part")
+    return dealt.sortWithinPartitions("piece", "part").select(*names, "text").mapInArrow(
+        search, "a long, b long"
     )
-    probes = lots.select(
-        "probe", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("lots") - 1)).alias("lot"),
-        F.col("probe").alias("class"),
+
+
+def _blocks(sets: str, shingles: str) -> Column:
+    """How many blocks make (sets, shingles) small enough for a task."""
+    return F.greatest(
+        F.ceil(F.col(shingles) / HELD),
+        F.ceil(F.sqrt(F.col(shingles).cast("double") * F.col(sets) / COMPARED)),
     )
-    members = dealt.unionByName(probes).join(sets, "class").select("probe", "lot", "class", "hashes")
-    return members.repartition("probe", "lot").sortWithinPartitions("probe", "lot").mapInArrow(
-        search, "a long, b long"
+
+
+def _pieces(heads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(piece, class, size, sets, shingles, blocks): pieces that fit a task, and those too large for one."""
+    together = components(heads.select(F.col("class").alias("a"), F.col("head").alias("b")))
+    sizes = heads.groupBy("class").agg(F.max("size").alias("size"))
+    whole = sizes.join(together, F.col("class") == F.col("node")).select(
+        F.col("component").alias("piece"), "class", "size"
+    )
+
+    def counted(pieces: DataFrame) -> DataFrame:
+        counts = pieces.groupBy("piece").agg(F.count("*").alias("sets"), F.sum("size").alias("shingles"))
+        counts = counts.filter("sets > 1").withColumn("blocks", _blocks("sets", "shingles"))
+        return pieces.join(counts, "piece")
+
+    whole = stored(counted(whole), "shingle-pieces")
+    fits, large = whole.filter("blocks = 1"), whole.filter("blocks > 1")
+    if large.isEmpty():
+        return fits, large
+    of_heads = heads.join(large.select("class"), "class").select(F.col("head").alias("piece"), "class", "size")
+    of_heads = stored(counted(of_heads), "shingle-pieces")
+    return fits.unionByName(of_heads.filter("blocks = 1")), of_heads.filter("blocks > 1")
+
+
+def _numbers(count: str) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+
+
+def _in_blocks(large: DataFrame) -> DataFrame:
+    """Every class in its block, the head in all."""
+    block = F.pmod(F.xxhash64("class"), F.col("blocks"))
+    heads = large.filter("class = piece").select("piece", _numbers("blocks").alias("part"), "class")
+    return large.filter("class <> piece").select("piece", block.alias("part"), "class").unionByName(heads)
+
+
+def _across_blocks(large: DataFrame, known: DataFrame) -> DataFrame:
+    """All blocks, each with classes outside of its piece's largest component as probes."""
+    placed = large.join(known, F.col("class") == F.col("node"), "left").select(
+        *large.columns, F.coalesce("component", "class").alias("component")
+    )
+    placed = stored(placed, "shingle-placed")
+    largest = placed.groupBy("piece", "component").agg(F.count("*").alias("n")).groupBy("piece").agg(
+        F.max(F.struct("n", "component"))["component"].alias("largest")
+    )
+    outside = placed.join(largest, "piece").filter("component <> largest").drop("largest")
+    lots = outside.groupBy("piece").agg(
+        F.greatest(
+            F.ceil(F.sum("size") / HELD),
+            F.ceil(
+                F.count("*") * F.first("shingles").cast("double") / F.first("blocks") / COMPARED
+            ),
+        ).alias("lots")
+    )
+    outside = outside.join(lots, "piece").withColumn("lot", F.pmod(F.xxhash64("class"), F.col("lots")))
+    block = F.pmod(F.xxhash64("class", F.lit(1)), F.col("blocks"))
+    names = ["piece", "part", "class", "probe", "component"]
+    probes = outside.withColumn("block", _numbers("blocks")).withColumn("probe", F.lit(True))
+    others = placed.join(lots, "piece").withColumn("lot", _numbers("lots")).withColumn(
+        "block", block
+    ).withColumn("probe", F.lit(False))
+    part = F.col("lot") * F.col("blocks") + F.col("block")
+    return probes.withColumn("part", part).select(names).unionByName(
+        others.withColumn("part", part).select(names)
     )
 
 
@@ -360,60 +456,29 @@ def near_duplicates(
     levels = spark.sparkContext.broadcast(_levels(first.filter("cell is not null").select("cell", "counts")))
     total = members.agg(F.sum("size")).first()[0] or 0
     buckets = max(8, total // 3 // BUCKET_ENTRIES)
-    lists = stored(_lists(rows, levels, n, percent, buckets), "shingle-lists")
-    lists = _that_may_link(lists, percent)
+    heads = stored(_heads(rows, levels, n, percent, buckets), "shingle-heads")
+    heads = stored(_that_may_link(heads, percent), "shingle-heads")
+    fits, large = _pieces(heads)
 
     # One document of each class stands for it.
-    classes = lists.select("class").distinct()
-    texts = stored(members.join(classes, "class").groupBy("class").agg(F.min("key").alias("key")), "shingle-texts")
-    needed = spark.sparkContext.broadcast(_needed_bits(texts))
-    sets = stored(_needed_sets(rows, needed, levels, n, classes), "shingle-sets")
-
-    def near(a: str, b: str):
-        small, large = F.least(a, b), F.greatest(a, b)
-        return small * 100 >= large * percent
-
-    # Each list against its smallest class.
-    heads = lists.groupBy("list").agg(F.min("class").alias("probe"))
-    sized = lists.select(F.col("class").alias("probe"), F.col("size").alias("probe_size")).distinct()
-    star = (
-        lists.join(heads, "list").filter(F.col("class") != F.col("probe"))
-        .select("probe", "class", "size").distinct().join(sized, "probe")
-        .filter(near("size", "probe_size")).select("probe", "class")
-    )
-    star = stored(star, "shingle-pairs")
-    links = stored(_links(star, sets, percent), "shingle-links")
-    known = stored(components(links), "shingle-components")
-
-    # Pairs of a list that no link connects yet.
-    placed = lists.join(known, F.col("class") == F.col("node"), "left").select(
-        "list", "class", "size", F.coalesce("component", "class").alias("component")
-    )
-    mixed = (
-        placed.groupBy("list").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
-        ).filter(F.col("low") != F.col("high")).select("list")
-    )
-    open_lists = stored(placed.join(mixed, "list", "left_semi"), "shingle-open")
-    left = open_lists.select(
-        "list", F.col("class").alias("probe"), F.col("size").alias("probe_size"),
-        F.col("component").alias("probe_component"),
-    )
-    rest = (
-        open_lists.join(left, "list")
-        .filter(
-            (F.col("probe") < F.col("class")) & (F.col("component") != F.col("probe_component"))
-            & near("size", "probe_size")
-        )
-        .select("probe", "class").distinct()
-        .join(star, ["probe", "class"], "left_anti")
+    classes = fits.select("class").unionByName(large.select("class")).distinct()
+    one = stored(members.join(classes, "class").groupBy("class").agg(F.min("key").alias("key")), "shingle-texts")
+    needed = spark.sparkContext.broadcast(_needed_bits(one))
+    texts = _needed_texts(rows, needed, n)
+
+    pieces = fits.select("piece", F.lit(0).cast("long").alias("part"), "class").unionByName(_in_blocks(large))
+    whole = pieces.withColumn("probe", F.lit(None).cast("boolean")).withColumn(
+        "component", F.lit(None).cast("long")
     )
-    more = stored(_links(rest, sets, percent), "shingle-links")
-    joined = components(links.unionByName(more))
-
-    counted = links.unionByName(more)
-    counted = counted.select(F.col("a").alias("class")).unionByName(
-        counted.select(F.col("b").alias("class"))
+    links = stored(_links(texts, whole, n, percent), "shingle-links")
+    if not large.isEmpty():
+        across = _across_blocks(large, components(links))
+        links = links.unionByName(stored(_links(texts, across, n, percent), "shingle-links"))
+    links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    joined = components(links)
+
+    counted = links.select(F.col("a").alias("class")).unionByName(
+        links.select(F.col("b").alias("class"))
     ).groupBy("class").agg(F.count("*").alias("n_links"))
     # Classes as components: their smallest key is that of all their documents.
     smallest = members.filter("size > 0").groupBy("class").agg(F.min("key").alias("first"))
@@ -432,24 +497,26 @@ def near_duplicates(
     )
 
 
-def _needed_sets(rows: DataFrame, needed, levels, n: int, classes: DataFrame) -> DataFrame:
-    """(class, hashes) in the global order, of the classes given."""
-    fields = "class long, hashes binary"
+def _needed_texts(rows: DataFrame, needed, n: int) -> DataFrame:
+    """(class, text) of texts whose key is marked as needed; a task hands on one of each class."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order, bits = levels.value, needed.value
+        bits = needed.value
+        seen: set[int] = set()
         for batch in batches:
             places = np.array(values(batch, "key"), np.int64) & ((1 << NEEDED_BITS) - 1)
             keep = (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1
-            found = [h for _, h in _sets(batch.filter(pa.array(keep)), n) if len(h)]
+            batch = batch.filter(pa.array(keep))
+            classes = [_class_of(hashes) for _, hashes in _sets(batch, n)]
+            new = []
+            for name in classes:
+                new.append(name not in seen)
+                if len(seen) > 1_000_000:
+                    seen.clear()
+                seen.add(name)
+            texts = batch.column(batch.schema.get_field_index("text"))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_class_of(h) for h in found], pa.int64()),
-                 pa.array([_in_order(h, order).tobytes() for h in found], pa.binary())],
-                names=["class", "hashes"],
-            )
-
-    found = rows.mapInArrow(read, fields)
-    return found.join(classes, "class", "left_semi").groupBy("class").agg(
-        F.first("hashes").alias("hashes")
-    )
+                [pa.array(classes, pa.int64()), texts], names=["class", "text"]
+            ).filter(pa.array(new, pa.bool_()))
 
+    return rows.mapInArrow(read, "class long, text string")

@@ -1,7 +1,9 @@
 import random
 import re
 
-from stackroom.llm import jaccard_join
+import numpy as np
+import pytest
+from stackroom.llm import jaccard_join, store
 
 
 def brute(docs):
@@ -43,3 +45,66 @@ def test_like_brute_force(spark):
 
 def test_empty_table(spark):
     assert jaccard_join.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def near_copies(rng, size, changed):
+    """Copies of one text, many of which link with few others; a line that all hold; some other texts."""
+    base = [f"base{i}" for i in range(90)]
+    docs = []
+    for key in range(size):
+        words = list(base)
+        for _ in range(rng.choice(changed)):
+            words[rng.randrange(80)] = f"new{rng.randrange(10**6)}"
+        docs.append((key, " ".join(words)))
+    line = " ".join(base[80:])
+    docs += [(size + i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(i % 7)) + " " + line) for i in range(40)]
+    return docs
+
+
+@pytest.mark.parametrize(("held", "compared"), [(2_000_000, 4_000_000_000), (3_000, 10**12), (10**9, 100_000)])
+def test_pieces_of_any_size_like_brute_force(spark, monkeypatch, held, compared):
+    monkeypatch.setattr(jaccard_join, "HELD", held)
+    monkeypatch.setattr(jaccard_join, "COMPARED", compared)
+    docs = near_copies(random.Random(5), 150, [1, 2, 3, 4, 5])
+    found = jaccard_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute(docs)
+
+
+def test_rows_written_grow_no_faster_than_the_group(spark, monkeypatch):
+    """Nothing grows with the number of lists that a group shares, or with its pairs."""
+    written = []
+
+    def counting(df, purpose, **options):
+        out = store.stored(df, purpose, **options)
+        written.append((out.count(), purpose))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", counting)
+    docs = near_copies(random.Random(6), 300, [2, 3, 4, 5, 6])
+    jaccard_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert max(written)[0] <= 8 * len(docs)
+
+
+def test_links_connect_what_is_linked():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    sets = [np.unique(np.r_[base[rng.random(60) < keep], rng.integers(0, 1 << 63, 3, dtype=np.uint64)])
+            for keep in rng.choice([0.7, 0.85, 1.0], 200)]
+    sets += [base[:k] for k in range(1, 61)]
+    every = {
+        (a, b) for a, x in enumerate(sets) for b, y in enumerate(sets)
+        if a != b and 100 * len(np.intersect1d(x, y)) >= 75 * len(np.union1d(x, y))
+    }
+
+    def parts(links):
+        own = list(range(len(sets)))
+        for _ in sets:
+            for a, b in links:
+                own[a] = own[b] = min(own[a], own[b])
+        return own
+
+    links = jaccard_join.connected(sets, 75)
+    assert set(links) <= every and len(links) < len(sets) and parts(links) == parts(every)
+    tree = jaccard_join.PrefixTree(sets)
+    for a, x in enumerate(sets):
+        assert set(tree.search(x, 75).tolist()) - {a} == {b for c, b in every if c == a}
