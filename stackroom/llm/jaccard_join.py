@@ -8,10 +8,11 @@ more.  The result is exact; no link between different texts is lost.
    how often it occurs.  Shingles are ordered by level, then by hash: rare ones first.
 2. Of sets of sizes n that link, the first n - ceil(n * percent) + k in that order share k.
    Those entries (shingle, class, size) meet in buckets of the hash, packed as arrays.  The classes of a
-   *list* share a first shingle; a bucket hands on each with the list's smallest one, its head, once,
-   not the lists.  With k a tenth of n, a class that shares fewer of its first shingles with any others
-   than its partners' k cannot link and is left out.
-3. Classes connected by heads are a *piece*: links are within pieces.  A task takes the texts of one piece, and
+   *list* share a first shingle.  Of lists of up to ``SMALL`` classes a bucket hands on the pairs, of others
+   each class with the smallest one, the list's head: each once, with how many lists show it.
+   With k a tenth of n, what shares fewer first shingles than k cannot link and is left out: classes, pairs, and
+   of a class's heads the weakest ones that hold less than half of k together.
+3. Classes connected by pairs or heads are a *piece*: links are within pieces.  A task takes the texts of one piece, and
    links its classes by a prefix tree of their sets: first what links with one class, then what
    links with those, and so on, always held against classes that nothing links yet.
 4. What a task holds and compares is bounded.  A larger piece is taken apart into the pieces of each head, which
@@ -36,7 +37,7 @@ from itertools import groupby
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stackroom.llm.components import components
@@ -48,7 +49,9 @@ SKETCH_BITS = 20
 #: Bits of the bitmap of texts whose sets are needed: a fixed size, sent to every task.
 NEEDED_BITS = 26
 #: Shingle entries that a bucket holds on average.
-BUCKET_ENTRIES = 400_000
+BUCKET_ENTRIES = 200_000
+#: Classes of a list that is handed on as pairs: six at most.
+SMALL = 4
 #: Shingles of the sets that a task holds at a time.
 HELD = 2_000_000
 #: Shingles times sets: what a task compares at most.
@@ -144,7 +147,10 @@ def _levels(sketches: DataFrame) -> np.ndarray:
 
 
 def _heads(rows: DataFrame, levels, n: int, percent: int, buckets: int) -> DataFrame:
-    """(class, head, size, shared): classes, the smallest ones of their lists, and how many lists these are."""
+    """(class, head, pair, size, head_size, shared): pairs of small lists, classes and heads of others.
+
+    ``shared`` is how many lists show it.  Heads of large lists come with themselves, too.
+    """
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = levels.value
@@ -200,26 +206,65 @@ def _heads(rows: DataFrame, levels, n: int, percent: int, buckets: int) -> DataF
         hashes, names, sizes = hashes[new], names[new], sizes[new]
         starts = np.nonzero(np.r_[True, hashes[1:] != hashes[:-1]])[0]
         lengths = np.diff(np.r_[starts, len(hashes)])
-        inside = np.repeat(lengths > 1, lengths)
-        found = pd.DataFrame(
-            {"class": names[inside], "head": np.repeat(names[starts], lengths)[inside],
-             "size": sizes[inside].astype(np.int64)}
-        )
-        return found.groupby(["class", "head", "size"]).size().reset_index(name="shared")
+        large = np.repeat(lengths > SMALL, lengths)
+        # Places of the class and of the other one; in a list, classes are in order.
+        found = [(np.flatnonzero(large), np.repeat(starts, lengths)[large], False)]
+        for length in range(2, SMALL + 1):
+            begin = starts[lengths == length]
+            found += [(begin + i, begin + j, True) for i in range(length) for j in range(i)]
+        found = [
+            pd.DataFrame({"class": names[a], "head": names[b], "pair": pair, "size": sizes[a], "head_size": sizes[b]})
+            for a, b, pair in found
+        ]
+        by = ["class", "head", "pair", "size", "head_size"]
+        return pd.concat(found).groupby(by).size().reset_index(name="shared")
 
     packed = rows.mapInArrow(entries, "bucket long, hashes binary, classes binary, sizes binary")
-    fields = "class long, head long, size long, shared long"
+    fields = "class long, head long, pair boolean, size long, head_size long, shared long"
     found = packed.groupBy("bucket").applyInPandas(heads, fields)
-    return found.groupBy("class", "head").agg(F.max("size").alias("size"), F.sum("shared").alias("shared"))
+    return found.groupBy("class", "head", "pair").agg(
+        F.max("size").alias("size"), F.max("head_size").alias("head_size"), F.sum("shared").alias("shared")
+    )
 
 
-def _that_may_link(heads: DataFrame, percent: int) -> DataFrame:
-    """``heads`` without classes that share too little."""
-    shared = heads.groupBy("class").agg(F.sum("shared").alias("all_shared"), F.max("size").alias("n"))
+def _that_may_link(heads: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(class, head) and (class, size) of what shares enough."""
+    of_large = F.when(~F.col("pair"), F.col("shared"))
+    of_pairs = F.when(F.col("pair"), F.col("shared"))
+    shares = heads.select("class", "size", of_pairs.alias("near"), of_large.alias("large")).unionByName(
+        heads.filter("pair").select(
+            F.col("head").alias("class"), F.col("head_size").alias("size"), of_pairs.alias("near"), of_large.alias("large")
+        )
+    )
     # A partner has at least ``percent`` of the size, and a tenth of that, and one, is its k.
-    least = F.floor(F.floor(F.col("n") * percent / 100) / 10) + 1
-    enough = shared.filter(F.col("all_shared") >= least).select("class")
-    return heads.join(enough, "class").select("class", "head", "size")
+    least = F.floor(F.floor(F.col("size") * percent / 100) / 10) + 1
+    shares = shares.groupBy("class").agg(
+        F.max("size").alias("size"), F.coalesce(F.max("near"), F.lit(0)).alias("near"),
+        F.coalesce(F.sum("large"), F.lit(0)).alias("large"),
+    )
+    enough = stored(
+        shares.filter(F.col("near") + F.col("large") >= least).select("class", "size", "large", least.alias("least")),
+        "shingle-enough",
+    )
+    # A pair shares what its small lists show, and some of the large ones of both.
+    other = enough.select(
+        F.col("class").alias("head"), F.col("large").alias("head_large"), F.col("least").alias("head_least")
+    )
+    small, large = F.least("size", "head_size"), F.greatest("size", "head_size")
+    pairs = (
+        heads.filter("pair").join(enough.drop("size"), "class").join(other, "head")
+        .filter(small * 100 >= large * percent)
+        .filter(F.col("shared") + F.least("large", "head_large") >= F.greatest("least", "head_least"))
+    )
+    # Both sides leave out less than half of what they share at least, so that something they share is left.
+    weakest = Window.partitionBy("class").orderBy("shared", "head").rowsBetween(Window.unboundedPreceding, 0)
+    kept = (
+        heads.filter(~F.col("pair") & (F.col("class") != F.col("head"))).select("class", "head", "shared")
+        .join(enough, "class").withColumn("so_far", F.sum("shared").over(weakest))
+        .filter(F.col("so_far") > F.floor((F.col("least") - 1) / 2))
+    )
+    edges = pairs.select("class", "head").unionByName(kept.select("class", "head"))
+    return stored(edges, "shingle-heads"), enough.select("class", "size")
 
 
 def _needed_bits(texts: DataFrame) -> np.ndarray:
@@ -376,10 +421,9 @@ def _blocks(sets: str, shingles: str) -> Column:
     )
 
 
-def _pieces(heads: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _pieces(heads: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(piece, class, size, sets, shingles, blocks): pieces that fit a task, and those too large for one."""
     together = components(heads.select(F.col("class").alias("a"), F.col("head").alias("b")))
-    sizes = heads.groupBy("class").agg(F.max("size").alias("size"))
     whole = sizes.join(together, F.col("class") == F.col("node")).select(
         F.col("component").alias("piece"), "class", "size"
     )
@@ -393,7 +437,10 @@ def _pieces(heads: DataFrame) -> tuple[DataFrame, DataFrame]:
     fits, large = whole.filter("blocks = 1"), whole.filter("blocks > 1")
     if large.isEmpty():
         return fits, large
-    of_heads = heads.join(large.select("class"), "class").select(F.col("head").alias("piece"), "class", "size")
+    own = heads.select("head", F.col("head").alias("class"))
+    of_heads = heads.select("head", "class").unionByName(own).distinct().join(
+        large.select("class", "size"), "class"
+    ).select(F.col("head").alias("piece"), "class", "size")
     of_heads = stored(counted(of_heads), "shingle-pieces")
     return fits.unionByName(of_heads.filter("blocks = 1")), of_heads.filter("blocks > 1")
 
@@ -457,8 +504,8 @@ def near_duplicates(
     total = members.agg(F.sum("size")).first()[0] or 0
     buckets = max(8, total // 3 // BUCKET_ENTRIES)
     heads = stored(_heads(rows, levels, n, percent, buckets), "shingle-heads")
-    heads = stored(_that_may_link(heads, percent), "shingle-heads")
-    fits, large = _pieces(heads)
+    heads, sizes = _that_may_link(heads, percent)
+    fits, large = _pieces(heads, sizes)
 
     # One document of each class stands for it.
     classes = fits.select("class").unionByName(large.select("class")).distinct()
