@@ -377,16 +377,17 @@ def frequent_phrases(
             sent[step], sent[ago] if ago >= 0 else None, step < settings.shards, settings,
         ).withColumn("since", F.lit(step))
         if counts is not None:
-            # What ended its round below the threshold is let go.
-            due = (F.col("n") >= settings.least) | (F.col("since") > ago)
-            found = found.unionByName(counts.filter(due))
+            found = found.unionByName(counts)
         # Tasks have counted their own; hardly a key comes twice before the shuffle.
         summed = (
             found.repartition("key").groupBy("key")
             .agg(F.sum("n").alias("n"), F.min("since").alias("since"))
         )
+        # What ends its round below the threshold is let go before it is written.
+        summed = summed.filter((F.col("n") >= settings.least) | (F.col("since") > ago + 1))
         before, written = written, scratch_dir(spark, "phrase-counts")
-        summed.write.parquet(written)
+        # Hashes hardly repeat: a dictionary of them would be built in vain.
+        summed.write.option("parquet.enable.dictionary#key", "false").parquet(written)
         counts = spark.read.schema("key bigint, n bigint, since int").parquet(written)
         if before:
             remove_scratch(before)

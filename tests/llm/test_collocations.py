@@ -79,6 +79,24 @@ def test_every_row_is_in_one_of_the_slices(spark):
     assert sizes[slices - 1] > 800  # the last one is as large as all before
 
 
+def test_what_ends_below_the_threshold_is_not_written(spark, monkeypatch):
+    remove, written = collocations.remove_scratch, []
+
+    def removed(folder):
+        if "phrase-counts" in folder:
+            written.append(spark.read.parquet(folder).collect())
+        remove(folder)
+
+    monkeypatch.setattr(collocations, "remove_scratch", removed)
+    rows = [("en", f"a b c rare{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    frequent = frequent_phrases(docs, Settings(shards=2)).filter("length > 0").collect()
+    assert len(frequent) == 6 and all(r["n"] == 40 for r in frequent)
+    assert any(r["n"] < 30 for r in written[0])
+    for step, counts in enumerate(written):  # a round is two steps
+        assert all(r["n"] >= 30 or r["since"] + 2 > step + 1 for r in counts)
+
+
 def test_empty_tables_and_long_texts(spark):
     settings = Settings(least=2, shards=2, filter_bits=12)
     empty = spark.createDataFrame([], SCHEMA)
