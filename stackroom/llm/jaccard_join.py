@@ -8,8 +8,8 @@ more.  The result is exact; no link between different texts is lost.
    how often it occurs.  Shingles are ordered by level, then by hash: rare ones first.
 2. Of sets of sizes n that link, the first n - ceil(n * percent) + k in that order share k.
    Those entries (shingle, class, size) meet in buckets of the hash, packed as arrays.  The classes of a
-   *list* share a first shingle.  Of lists of up to ``SMALL`` classes a bucket hands on the pairs, of others
-   each class with the smallest one, the list's head: each once, with how many lists show it.
+   *list* share a first shingle.  Of lists of up to ``SMALL`` classes a bucket hands on the pairs whose sizes
+   allow a link, of others each class with the smallest one, the list's head.  Spark counts how many lists show each.
    With k a tenth of n, what shares fewer first shingles than k cannot link and is left out: classes, pairs, and
    of a class's heads the weakest ones that hold less than half of k together.
 3. Classes connected by pairs or heads are a *piece*: links are within pieces.  A task takes the texts of one piece, and
@@ -146,8 +146,37 @@ def _levels(sketches: DataFrame) -> np.ndarray:
     return np.ceil(np.log2(counts.reshape(-1) + 1)).astype(np.uint8)
 
 
+def _shown(group: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """(class, head, pair, size, head_size) of a bucket's lists, each list's by itself.
+
+    Spark counts them, for all buckets of a task at once: a list gives the same rows in however many buckets.
+    Pairs whose sizes rule out a link are left out.
+    """
+    hashes = np.concatenate([np.frombuffer(x, np.uint32) for x in group["hashes"]])
+    names = np.concatenate([np.frombuffer(x, np.int64) for x in group["classes"]])
+    sizes = np.concatenate([np.frombuffer(x, np.int32) for x in group["sizes"]]).astype(np.int64)
+    by = np.lexsort((names, hashes))
+    hashes, names, sizes = hashes[by], names[by], sizes[by]
+    new = np.r_[True, (hashes[1:] != hashes[:-1]) | (names[1:] != names[:-1])]
+    hashes, names, sizes = hashes[new], names[new], sizes[new]
+    starts = np.nonzero(np.r_[True, hashes[1:] != hashes[:-1]])[0]
+    lengths = np.diff(np.r_[starts, len(hashes)])
+    large = np.repeat(lengths > SMALL, lengths)
+    # Places of the class and of the other one; in a list, classes are in order.
+    found = [(np.flatnonzero(large), np.repeat(starts, lengths)[large], False)]
+    for length in range(2, SMALL + 1):
+        begin = starts[lengths == length]
+        for a, b in [(begin + i, begin + j) for i in range(length) for j in range(i)]:
+            may = np.minimum(sizes[a], sizes[b]) * 100 >= np.maximum(sizes[a], sizes[b]) * percent
+            found.append((a[may], b[may], True))
+    return pd.concat([
+        pd.DataFrame({"class": names[a], "head": names[b], "pair": pair, "size": sizes[a], "head_size": sizes[b]})
+        for a, b, pair in found
+    ])
+
+
 def _heads(rows: DataFrame, levels, n: int, percent: int, buckets: int) -> DataFrame:
-    """(class, head, pair, size, head_size, shared): pairs of small lists, classes and heads of others.
+    """(class, head, pair, size, head_size, shared): pairs of small lists that may link, classes and heads of others.
 
     ``shared`` is how many lists show it.  Heads of large lists come with themselves, too.
     """
@@ -196,34 +225,11 @@ def _heads(rows: DataFrame, levels, n: int, percent: int, buckets: int) -> DataF
         if held:
             yield emit()
 
-    def heads(group: pd.DataFrame) -> pd.DataFrame:
-        hashes = np.concatenate([np.frombuffer(x, np.uint32) for x in group["hashes"]])
-        names = np.concatenate([np.frombuffer(x, np.int64) for x in group["classes"]])
-        sizes = np.concatenate([np.frombuffer(x, np.int32) for x in group["sizes"]])
-        by = np.lexsort((names, hashes))
-        hashes, names, sizes = hashes[by], names[by], sizes[by]
-        new = np.r_[True, (hashes[1:] != hashes[:-1]) | (names[1:] != names[:-1])]
-        hashes, names, sizes = hashes[new], names[new], sizes[new]
-        starts = np.nonzero(np.r_[True, hashes[1:] != hashes[:-1]])[0]
-        lengths = np.diff(np.r_[starts, len(hashes)])
-        large = np.repeat(lengths > SMALL, lengths)
-        # Places of the class and of the other one; in a list, classes are in order.
-        found = [(np.flatnonzero(large), np.repeat(starts, lengths)[large], False)]
-        for length in range(2, SMALL + 1):
-            begin = starts[lengths == length]
-            found += [(begin + i, begin + j, True) for i in range(length) for j in range(i)]
-        found = [
-            pd.DataFrame({"class": names[a], "head": names[b], "pair": pair, "size": sizes[a], "head_size": sizes[b]})
-            for a, b, pair in found
-        ]
-        by = ["class", "head", "pair", "size", "head_size"]
-        return pd.concat(found).groupby(by).size().reset_index(name="shared")
-
     packed = rows.mapInArrow(entries, "bucket long, hashes binary, classes binary, sizes binary")
-    fields = "class long, head long, pair boolean, size long, head_size long, shared long"
-    found = packed.groupBy("bucket").applyInPandas(heads, fields)
+    fields = "class long, head long, pair boolean, size long, head_size long"
+    found = packed.groupBy("bucket").applyInPandas(lambda group: _shown(group, percent), fields)
     return found.groupBy("class", "head", "pair").agg(
-        F.max("size").alias("size"), F.max("head_size").alias("head_size"), F.sum("shared").alias("shared")
+        F.max("size").alias("size"), F.max("head_size").alias("head_size"), F.count("*").alias("shared")
     )
 
 
@@ -250,10 +256,8 @@ def _that_may_link(heads: DataFrame, percent: int) -> tuple[DataFrame, DataFrame
     other = enough.select(
         F.col("class").alias("head"), F.col("large").alias("head_large"), F.col("least").alias("head_least")
     )
-    small, large = F.least("size", "head_size"), F.greatest("size", "head_size")
     pairs = (
         heads.filter("pair").join(enough.drop("size"), "class").join(other, "head")
-        .filter(small * 100 >= large * percent)
         .filter(F.col("shared") + F.least("large", "head_large") >= F.greatest("least", "head_least"))
     )
     # Both sides leave out less than half of what they share at least, so that something they share is left.

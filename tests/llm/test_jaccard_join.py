@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 from stackroom.llm import jaccard_join, store
 
@@ -43,6 +44,35 @@ def test_like_brute_force(spark):
     assert len(found) == len(docs)
 
 
+def test_lists_give_the_same_rows_in_few_buckets_and_in_many():
+    def group(entries):
+        hashes, classes, sizes = zip(*entries, strict=True)
+        return pd.DataFrame({
+            "hashes": [np.array(hashes, np.uint32).tobytes()], "classes": [np.array(classes, np.int64).tobytes()],
+            "sizes": [np.array(sizes, np.int32).tobytes()],
+        })
+
+    # Classes 1 and 2 share 30 lists; 3 is too large to link with 4; 5 to 12 share two lists.
+    entries = [(h, c, 100) for h in range(30) for c in (1, 2)] + [(40, 3, 200), (40, 4, 100), (41, 1, 100)]
+    entries += [(h, c, 100) for h in (50, 51) for c in range(5, 13)]
+    one = jaccard_join._shown(group(entries), 75)
+    many = pd.concat(
+        [jaccard_join._shown(group([e for e in entries if e[0] == h]), 75) for h in sorted({e[0] for e in entries})]
+    )
+    assert sorted(map(tuple, one.to_numpy().tolist())) == sorted(map(tuple, many.to_numpy().tolist()))
+    shown = one.groupby(["class", "head", "pair"]).size().to_dict()
+    assert shown == {(2, 1, True): 30} | {(c, 5, False): 2 for c in range(5, 13)}
+
+
+def test_pairs_whose_sizes_rule_out_a_link_are_not_handed_on(spark):
+    words = [f"w{i}" for i in range(60)]
+    docs = [(0, " ".join(words)), (1, " ".join(words[:10])), (2, " ".join([*words[:59], "other"]))]
+    rows = spark.createDataFrame(docs, "key long, text string")
+    levels = spark.sparkContext.broadcast(np.zeros(1 << jaccard_join.SKETCH_BITS, np.uint8))
+    found = jaccard_join._heads(rows, levels, 5, 75, 8).collect()
+    assert [(r["pair"], r["size"], r["head_size"]) for r in found] == [(True, 56, 56)] and found[0]["shared"] > 10
+
+
 def test_empty_table(spark):
     assert jaccard_join.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
