@@ -179,6 +179,17 @@ def test_tags_first_spelling_and_counts(spark):
     assert sum(r.items_count for r in counted.collect()) == links.count()
 
 
+def test_tags_and_links_of_first_mentions(spark):
+    exploded = tag_rows(
+        spark, [(1, ["B", "a"]), (1, ["b", "A", "c"]), (2, ["a", None]), (3, ["c", "C", "c "]), (1, ["B"]), (2, [])]
+    )
+    mentions = tags.first_mentions(exploded)
+    assert sorted((r.entity_id, r.slug, r.subject, r.source_offset, r.ord) for r in mentions.collect()) == [
+        (1, "a", "a", 0, 1), (1, "b", "B", 0, 0), (1, "c", "c", 1, 2), (2, "a", "a", 2, 0), (3, "c", "c", 3, 0),
+    ]
+    assert sorted(tags.build_tags(mentions).collect()) == sorted(tags.build_tags(exploded).collect())
+
+
 def test_recount_with_deleted_links(spark):
     dimension = spark.createDataFrame([("work", 1, 9), ("work", 2, 9)], "kind string, tag_id bigint, items_count bigint")
     links = spark.createDataFrame(

@@ -1,10 +1,12 @@
 """Files to staging to catalog: replays, appends, rebuilds, increments."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from stackroom.functions import json as functions_json
 from stackroom.operators.entities import rows_of_kind
 from stackroom.plans import catalog, staging
 from stackroom.sources.files import dump_files
@@ -306,6 +308,39 @@ def test_an_overtaken_update_starts_again(spark, tmp_path):
         late.switch()
 
 
+def test_records_are_opened_once(spark):
+    from stackroom.operators.entities import extract_records
+
+    bodies = [
+        '{"title":{"value":" t "},"name":5,"subjects":["A ",null,"b","a",""],"covers":[2,null,1,2,-1],'
+        '"source_records":["ia:x"," y",":z","q:"],"created":{"value":"2020-01-02T03:04:05"}}',
+        '{"title":"u","subjects":["x",5,null,{"a":1}],"genres":["g"],"covers":["3",4,1.5,"x"],'
+        '"source_records":[1,"ia:w"],"created":{"value":"2020-01-02T03:04:05.6+01:00"}}',
+        '{"title":null,"subjects":"x","covers":7,"created":{"value":"2020-01-02t030405"}}',
+        '["no object"]',
+        '{"created":{"value":"2020-13-02T03:04:05"},"birth_date":1999,"subjects":[]}',
+    ]
+    data = [("work", f"/works/OL{i}W", b, "d", "f", i) for i, b in enumerate(bodies, 1)]
+    rows = spark.createDataFrame(
+        data, "kind string, ol_key string, data_json string, dataset string, source_file string, source_offset bigint"
+    )
+    got = extract_records(functions_json.parse_once(rows, "data_json", "data"))
+    # A look-up by path walks the record from its start: it is opened by one pass.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"try_variant_get\(data#[0-9]+,", plan)) == 1
+    found = [
+        (r.name, r.subjects, r.cover_ids, [(p.source, p.source_key) for p in r.source_records], str(r.created_at))
+        for r in sorted(got.collect(), key=lambda r: r.ol_num)
+    ]
+    assert found == [
+        ("t", ["A", "b"], [2, 1, -1], [("ia", "x"), ("unknown", "y"), ("unknown", "z")], "2020-01-02 03:04:05"),
+        ("u", ["x", "g"], [3, 4], [("ia", "w")], "2020-01-02 03:04:05"),
+        (None, [], [], [], "2020-01-02 03:04:05"),
+        (None, [], [], [], "None"),
+        (None, [], [], [], "None"),
+    ]
+
+
 def test_strict_type(spark):
     from stackroom.operators.entities import extract_records
 
